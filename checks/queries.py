@@ -111,8 +111,8 @@ def struct_access(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def param_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parameters of every nested event; copies without a difference count as equal."""
-    params = pivot_params(F.col("event_params"))
-    rows = nested_table(spark, sf_dir).select("event_bundle_sequence_id", *params.values())
+    events = nested_table(spark, sf_dir).select("event_bundle_sequence_id", "event_params")
+    rows = pivot_params(events)
     return rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
 
 
@@ -249,10 +249,15 @@ def period_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def text_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = nested_table(spark, sf_dir).dropDuplicates(["event_bundle_sequence_id"]).select(
-        F.col("event_bundle_sequence_id").alias("event_id"),
-        "event_name",
-        F.lower(pivot_params(F.col("event_params"))["param_outbound"]).alias("outbound"),
+    columns = ["event_bundle_sequence_id", "event_name", "event_params"]
+    names = (
+        pivot_params(nested_table(spark, sf_dir).select(*columns))
+        .select(
+            F.col("event_bundle_sequence_id").alias("event_id"),
+            "event_name",
+            F.lower("param_outbound").alias("outbound"),
+        )
+        .distinct()
     )
     k = F.col("k")
     return (

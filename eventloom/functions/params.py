@@ -6,10 +6,10 @@ and no shuffle. A key that an event carries more than once yields the largest va
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,19 +30,6 @@ MIXED_KEYS = {
     "value": "number_as_text",
 }
 
-# Slot -> how the value struct (or an array of them) turns into the column's value.
-_SLOTS: dict[str, Callable[[Column], Column]] = {
-    "text": lambda v: v["string_value"],
-    "integer": lambda v: v["int_value"],
-    "text_or_integer": lambda v: F.coalesce(
-        v["string_value"], v["int_value"].cast("string")
-    ),
-    "number_as_text": lambda v: F.coalesce(
-        v["double_value"], v["int_value"].cast("double")
-    ).cast("string"),
-}
-
-
 @dataclass(frozen=True)
 class ParamSpec:
     """One parameter key and the slot its value is taken from."""
@@ -65,36 +52,56 @@ PARAM_SPECS: tuple[ParamSpec, ...] = (
     + tuple(ParamSpec(k, slot) for k, slot in MIXED_KEYS.items())
 )
 
+# Value of a slot that is a field of its own, and of one that mixes fields.
+_FIELDS = {"text": "string_value", "integer": "int_value"}
+_MIXTURES = {
+    "text_or_integer": "coalesce(v.string_value, CAST(v.int_value AS STRING))",
+    "number_as_text": (
+        "CAST(coalesce(v.double_value, CAST(v.int_value AS DOUBLE)) AS STRING)"
+    ),
+}
 
-def param_max(params: Column, spec: ParamSpec) -> Column:
-    """Largest value of a key over all its occurrences in the array."""
-    values = F.transform(
-        F.filter(params, lambda p: p["key"] == spec.key),
-        lambda p: _SLOTS[spec.slot](p["value"]),
+
+def _one_per_key(params: str) -> str:
+    """The array with each key once; a repeated key gets the maximum of every field.
+
+    Only events that do repeat a key pay for the rewrite.
+    """
+    fields = ", ".join(
+        f"'{f}', array_max(transform(filter({params}, p -> p.key = k), p -> p.value.{f}))"
+        for f in ("string_value", "int_value", "double_value")
     )
-    return F.array_max(values)
+    merged = (
+        f"transform(array_distinct({params}.key), "
+        f"k -> named_struct('key', k, 'value', named_struct({fields})))"
+    )
+    repeats = f"size(array_distinct({params}.key)) < size({params}.key)"
+    return f"CASE WHEN {repeats} THEN {merged} ELSE {params} END"
 
 
-def param_single(params: Column, spec: ParamSpec) -> Column:
-    """Value of a key that occurs at most once, by position.
+def param_sql(spec: ParamSpec, params: str, one_per_key: str) -> str:
+    """SQL of one parameter column.
 
-    Position search and element access are compiled with the rest of the stage, which
-    the lambdas of :func:`param_max` are not.
+    A single field is found by position in the array with unique keys, which compiles
+    with the rest of the stage. A mixed slot takes the maximum of the mixed values, so it
+    looks at every occurrence of its key.
     """
-    at = F.array_position(params["key"], spec.key).cast("int")
-    value = F.get(params["value"], at - 1)
-    return F.when(at > 0, _SLOTS[spec.slot](value))
+    if spec.slot in _FIELDS:
+        at = f"array_position({one_per_key}.key, '{spec.key}') - 1"
+        return f"get({one_per_key}, CAST({at} AS INT)).value.{_FIELDS[spec.slot]}"
+    same_key = f"transform(filter({params}, p -> p.key = '{spec.key}'), p -> p.value)"
+    return f"array_max(transform({same_key}, v -> {_MIXTURES[spec.slot]}))"
 
 
 def pivot_params(
-    params: Column, specs: Iterable[ParamSpec] = PARAM_SPECS
-) -> dict[str, Column]:
-    """Columns for all ``specs``, keyed by column name; repeated keys take the maximum."""
-    keys = params["key"]
-    repeated = F.size(F.array_distinct(keys)) < F.size(keys)
-    return {
-        s.column: F.when(repeated, param_max(params, s))
-        .otherwise(param_single(params, s))
-        .alias(s.column)
-        for s in specs
-    }
+    events: DataFrame,
+    params: str = "event_params",
+    specs: Sequence[ParamSpec] = PARAM_SPECS,
+) -> DataFrame:
+    """Replace the parameter array by one column per spec."""
+    unique = "one_per_key"
+    rest = [f"`{c}`" for c in events.columns if c != params]
+    pivoted = [f"{param_sql(s, params, unique)} AS {s.column}" for s in specs]
+    return events.withColumn(unique, F.expr(_one_per_key(params))).selectExpr(
+        *rest, *pivoted
+    )

@@ -27,39 +27,34 @@ Merge = Literal["regroup", "adaptive", "assume_unique"]
 MAX_BROADCAST_FINGERPRINTS = 2_000_000
 
 
-def _event_columns() -> list[Column]:
-    return [
-        F.col(path) if path == name else F.col(path).alias(name)
-        for name, path in EVENT_FIELDS.items()
-    ]
+_EVENT_COLUMNS = [f"{path} AS {name}" for name, path in EVENT_FIELDS.items()]
 
 
-def _expand_items(events: DataFrame, items: Column) -> DataFrame:
-    """One row per item; an event without items keeps one row with NULL item columns."""
-    rest = [c for c in events.columns if c != "items"]
-    expanded = events.select(*rest, F.explode_outer(items).alias("item"))
-    return expanded.select(*rest, *[F.col(f"item.{f}").alias(f) for f in ITEM_FIELDS])
+def _pivoted(nested: DataFrame) -> DataFrame:
+    return pivot_params(nested.selectExpr(*_EVENT_COLUMNS, "event_params", "items"))
 
 
-def _pivoted(nested: DataFrame) -> DataFrame:
-    params = pivot_params(F.col("event_params"))
-    return nested.select(*_event_columns(), *params.values(), "items")
+def _expand_items(events: DataFrame, items: str) -> DataFrame:
+    """One row per item; an event without items keeps one row with NULL item columns."""
+    rest = [c for c in events.columns if c != "items"]
+    expanded = events.selectExpr(*rest, f"explode_outer({items}) AS item")
+    return expanded.selectExpr(*rest, *[f"item.{f}" for f in ITEM_FIELDS])
 
 
 def _regrouped(nested: DataFrame) -> DataFrame:
-    rows = _expand_items(_pivoted(nested), F.col("items"))
+    rows = _expand_items(_pivoted(nested), "items")
     return rows.groupBy(*EVENT_FIELDS, *ITEM_FIELDS).agg(
-        *[F.max(p).alias(p) for p in PARAM_COLUMNS]
+        *[F.expr(f"max({p}) AS {p}") for p in PARAM_COLUMNS]
     )
 
 
 def _unique(nested: DataFrame) -> DataFrame:
-    return _expand_items(_pivoted(nested), F.array_distinct("items"))
+    return _expand_items(_pivoted(nested), "array_distinct(items)")
 
 
 def event_fingerprint() -> Column:
     """64-bit hash of all event columns; equal events have equal fingerprints."""
-    return F.xxhash64(*[F.col(path) for path in EVENT_FIELDS.values()])
+    return F.expr(f"xxhash64({', '.join(EVENT_FIELDS.values())})")
 
 
 def repeated_fingerprints(nested: DataFrame) -> DataFrame:

@@ -222,31 +222,24 @@ _SESSION_ATTRIBUTES = {
 def session_totals(flat: DataFrame) -> DataFrame:
     """Counts, engagement, first timestamp and one value per attribute of each session.
 
-    Done in two steps. The first groups by session and attribute values and only counts,
-    so the pass over all events is a hash aggregation. Picking one text value per session
-    needs a sort-based aggregation, and that runs on the few rows per session left over.
+    One aggregation, partial in the scanning tasks, and one shuffle of a row per session.
     """
-    attributes = list(_SESSION_ATTRIBUTES.values())
     counts = {name: count_event(event) for name, event in SESSION_COUNTS.items()}
     counts["session_event_count"] = F.count("*")
     counts["session_engagement_time"] = F.sum("param_engagement_time_msec")
-    partial = (
+    seen = F.col("event_timestamp")
+    return (
         flat.where(F.col("param_ga_session_id").isNotNull())
-        .groupBy(*_SESSION_KEYS, *attributes)
+        .groupBy(*_SESSION_KEYS)
         .agg(
-            F.min("event_timestamp").alias("first_timestamp"),
+            F.min(seen).alias("session_start"),
             *[c.alias(name) for name, c in counts.items()],
+            *[
+                earliest(F.col(column), seen).alias(name)
+                for name, column in _SESSION_ATTRIBUTES.items()
+            ],
         )
     )
-    first_seen = F.col("first_timestamp")
-    return partial.groupBy(*_SESSION_KEYS).agg(
-        F.min(first_seen).alias("session_start"),
-        *[F.sum(name).alias(name) for name in counts],
-        *[
-            earliest(F.col(column), first_seen).alias(name)
-            for name, column in _SESSION_ATTRIBUTES.items()
-        ],
-    )
 
 
 def with_funnel(totals: DataFrame) -> DataFrame:
@@ -426,43 +419,60 @@ def _additive_user_measures() -> dict[str, Column]:
     return measures
 
 
-def _distinct_user_measures() -> dict[str, Column]:
+def user_facts(stored: DataFrame) -> DataFrame:
+    """(user, event_name, fact): each item a user viewed and each purchase, once."""
     name = F.col("event_name")
-    return {
-        "total_sessions": F.count_distinct("param_ga_session_id"),
-        "unique_items_viewed": F.count_distinct(
-            F.when(name == "view_item", F.col("item_name"))
-        ),
-        "distinct_purchase_count": F.count_distinct(
-            F.when(name == "purchase", F.col("transaction_id"))
-        ),
-    }
+    fact = F.when(name == "view_item", F.col("item_name")).otherwise(F.col("transaction_id"))
+    return (
+        stored.where(name.isin("view_item", "purchase"))
+        .select(USER, name, fact.alias("fact"))
+        .where(F.col("fact").isNotNull())
+        .distinct()
+    )
 
 
 def user_event_totals(stored: DataFrame, dedupe_events: bool = False) -> DataFrame:
     """Event counts, engagement and distinct sessions, items and purchases per user.
 
+    Distinct values are counted as groups: events are first summed per user and session,
+    and facts reduced to one row each, then both are added up per user. Several distinct
+    counts in one aggregation would multiply every event row by their number.
+
     A row with no user id stands for no user: it keeps its place in the list but all its
     measures are NULL.
     """
-    additive, distinct = _additive_user_measures(), _distinct_user_measures()
-    if dedupe_events:
-        totals = (
-            one_row_per_event(stored)
-            .groupBy(USER)
-            .agg(*[c.alias(n) for n, c in additive.items()])
-            .join(
-                stored.groupBy(USER).agg(*[c.alias(n) for n, c in distinct.items()]),
-                USER,
-                "left",
-            )
-        )
-    else:
-        totals = stored.groupBy(USER).agg(
-            *[c.alias(n) for n, c in (additive | distinct).items()]
+    events = one_row_per_event(stored) if dedupe_events else stored
+    additive = _additive_user_measures()
+    one = F.lit(1).cast("long")
+    session = F.col("param_ga_session_id")
+    per_session = (
+        events.groupBy(USER, session)
+        .agg(*[c.alias(n) for n, c in additive.items()])
+        .withColumn("total_sessions", F.when(session.isNotNull(), one).otherwise(one - 1))
+        .drop("param_ga_session_id")
+    )
+    name = F.col("event_name")
+    facts = user_facts(stored).select(
+        USER,
+        F.when(name == "view_item", one).alias("unique_items_viewed"),
+        F.when(name == "purchase", one).alias("distinct_purchase_count"),
+    )
+    totals = (
+        per_session.unionByName(facts, allowMissingColumns=True)
+        .groupBy(USER)
+        .agg(
+            *[F.sum(n).alias(n) for n in additive],
+            F.sum("total_sessions").alias("total_sessions"),
+            F.coalesce(F.sum("unique_items_viewed"), F.lit(0)).alias("unique_items_viewed"),
+            F.coalesce(F.sum("distinct_purchase_count"), F.lit(0)).alias(
+                "distinct_purchase_count"
+            ),
         )
+    )
     known = F.col(USER).isNotNull()
-    return totals.withColumns({n: F.when(known, F.col(n)) for n in additive | distinct})
+    return totals.withColumns(
+        {n: F.when(known, F.col(n)) for n in totals.columns if n != USER}
+    )
 
 
 def user_session_totals(sessions: DataFrame) -> DataFrame:

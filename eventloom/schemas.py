@@ -6,44 +6,75 @@ that drifts fails where it is built and not where it is read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventloom.functions.params import PARAM_SPECS
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES: dict[str, T.DataType] = {
+    "string": T.StringType(),
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "date": T.DateType(),
+}
+
+
+def _schema(columns: str, **nested: T.DataType) -> T.StructType:
+    """Struct of "name type" pairs; a type may also be the name of a ``nested`` one.
+
+    Needs no running session, unlike a DDL string.
+    """
+    types = _TYPES | nested
+    pairs = (c.split() for c in columns.split(","))
+    return T.StructType([T.StructField(name, types[kind]) for name, kind in pairs])
 
 
+_TEXT_MAP = T.MapType(T.StringType(), T.StringType())
+_PARAM = _schema(
+    "key string, value slots",
+    slots=_schema("string_value string, int_value bigint, double_value double"),
+)
+_ITEM = _schema(
+    """
+    item_id string, item_name string, item_brand string, item_variant string,
+    item_category string, price double, price_in_usd double, quantity bigint,
+    item_revenue double, item_revenue_in_usd double, item_list_id string,
+    item_list_index string, promotion_name string, creative_name string
+    """
+)
 NESTED_EVENT = _schema(
     """
     event_name string, event_date string, event_timestamp bigint,
-    event_value_in_usd double, event_bundle_sequence_id bigint,
-    stream_id string, platform string,
-    user_pseudo_id string, user_first_touch_timestamp bigint,
-    user_ltv struct<revenue: double, currency: string>,
-    device struct<category: string, mobile_brand_name: string,
-                  mobile_model_name: string, operating_system: string,
-                  operating_system_version: string, language: string,
-                  web_info: struct<browser: string, browser_version: string>>,
-    geo struct<continent: string, sub_continent: string, country: string,
-               region: string, city: string>,
-    traffic_source struct<medium: string, name: string, source: string>,
-    ecommerce struct<total_item_quantity: bigint, purchase_revenue_in_usd: double,
-                     purchase_revenue: double, tax_value_in_usd: double,
-                     tax_value: double, unique_items: bigint, transaction_id: string>,
-    event_params array<struct<key: string,
-                              value: struct<string_value: string, int_value: bigint,
-                                            double_value: double>>>,
-    items array<struct<item_id: string, item_name: string, item_brand: string,
-                       item_variant: string, item_category: string, price: double,
-                       price_in_usd: double, quantity: bigint, item_revenue: double,
-                       item_revenue_in_usd: double, item_list_id: string,
-                       item_list_index: string, promotion_name: string,
-                       creative_name: string>>
-    """
+    event_value_in_usd double, event_bundle_sequence_id bigint, stream_id string,
+    platform string, user_pseudo_id string, user_first_touch_timestamp bigint,
+    user_ltv ltv, device device, geo geo, traffic_source traffic,
+    ecommerce ecommerce, event_params params, items items
+    """,
+    ltv=_schema("revenue double, currency string"),
+    device=_schema(
+        """
+        category string, mobile_brand_name string, mobile_model_name string,
+        operating_system string, operating_system_version string, language string,
+        web_info web
+        """,
+        web=_schema("browser string, browser_version string"),
+    ),
+    geo=_schema(
+        "continent string, sub_continent string, country string, region string, city string"
+    ),
+    traffic=_schema("medium string, name string, source string"),
+    ecommerce=_schema(
+        """
+        total_item_quantity bigint, purchase_revenue_in_usd double,
+        purchase_revenue double, tax_value_in_usd double, tax_value double,
+        unique_items bigint, transaction_id string
+        """
+    ),
+    params=T.ArrayType(_PARAM),
+    items=T.ArrayType(_ITEM),
 )
 
 # Flat column -> path in the nested event. The timestamp and the user lead because
@@ -85,9 +116,7 @@ EVENT_FIELDS: dict[str, str] = {
     "transaction_id": "ecommerce.transaction_id",
 }
 
-ITEM_FIELDS: tuple[str, ...] = tuple(
-    NESTED_EVENT["items"].dataType.elementType.fieldNames()
-)
+ITEM_FIELDS: tuple[str, ...] = tuple(_ITEM.fieldNames())
 
 PARAM_COLUMNS: tuple[str, ...] = tuple(s.column for s in PARAM_SPECS)
 
@@ -110,10 +139,7 @@ FLAT_EVENT = T.StructType(
         T.StructField(c, _type_at(EVENT_FIELDS[c]))
         for c in _EVENT_ORDER + tuple(c for c in EVENT_FIELDS if c not in _EVENT_ORDER)
     ]
-    + [
-        T.StructField(f.name, f.dataType)
-        for f in NESTED_EVENT["items"].dataType.elementType.fields
-    ]
+    + _ITEM.fields
     + [T.StructField(s.column, s.spark_type) for s in PARAM_SPECS]
     + [
         T.StructField("offset_minutes", T.IntegerType()),
@@ -234,24 +260,23 @@ RUN_METRICS = _schema(
 )
 
 RUNS = _schema(
-    """
-    run_name string, prediction_date date, params map<string, string>,
-    tags map<string, string>
-    """
+    "run_name string, prediction_date date, params text_map, tags text_map",
+    text_map=_TEXT_MAP,
 )
 
 
 def as_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select the columns of ``schema`` in order, casting each to its declared type."""
 
-    def typed(field: T.StructField) -> Column:
-        column = F.col(field.name)
-        if types[field.name] == field.dataType:
-            return column
-        return column.cast(field.dataType).alias(field.name)
-
     types = {f.name: f.dataType for f in df.schema.fields}
-    return df.select(*[typed(f) for f in schema.fields])
+    return df.select(
+        *[
+            f.name
+            if types[f.name] == f.dataType
+            else F.col(f.name).cast(f.dataType).alias(f.name)
+            for f in schema.fields
+        ]
+    )
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

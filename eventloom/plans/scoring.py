@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from py4j.protocol import Py4JJavaError
@@ -149,14 +149,17 @@ def train_churn(
     return fit_classifier(labelled, CHURN_FEATURES, "is_churned", max_iter)
 
 
-def load_or_train(path: str, train) -> PipelineModel:
-    """The model saved at ``path``; if none can be read there, ``train()`` and save it."""
+def load_or_train(path: str, train: Callable[[], PipelineModel]) -> PipelineModel:
+    """The model saved at ``path``; if none can be read there, ``train()`` and save it.
+
+    A trained model is read back: the one in memory carries its training summary, which
+    holds on to the session and cannot always be sent to the executors.
+    """
     try:
         return PipelineModel.load(path)
     except (Py4JJavaError, AnalysisException, ValueError, IndexError):
-        model = train()
-        model.write().overwrite().save(path)
-        return model
+        train().write().overwrite().save(path)
+        return PipelineModel.load(path)
 
 
 def _probability(model: PipelineModel, matrix: DataFrame, name: str) -> DataFrame:

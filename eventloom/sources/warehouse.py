@@ -7,12 +7,13 @@ from dataclasses import dataclass
 from datetime import date
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventloom import schemas
 from eventloom.schemas import as_schema, conform
+from eventloom.sources.guards import matching_paths, path_exists
 
 
 class TableSpec(NamedTuple):
@@ -65,8 +66,6 @@ class Warehouse:
         return df.where(F.col(spec.partition).isin(*days))
 
     def exists(self, name: str) -> bool:
-        from eventloom.sources.guards import path_exists
-
         return path_exists(self.spark, self.path(name))
 
     def _writer(self, name: str, df: DataFrame):
@@ -93,22 +92,26 @@ class Warehouse:
         spec = TABLES[name]
         if spec.partition is None:
             raise ValueError(f"{name} is not partitioned by day")
-        column = F.col(spec.partition)
-        seen = Observation()
-        chosen = df.where(column.isin(*days)).observe(
-            seen, F.collect_set(column.cast("string")).alias("days")
-        )
+        before = {day: self._files(name, day) for day in days}
+        chosen = df.where(F.col(spec.partition).isin(*days))
         self._writer(name, chosen).mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).parquet(self.path(name))
-        written = set(seen.get["days"])
         rest = T.StructType([f for f in spec.schema.fields if f.name != spec.partition])
         for day in days:
-            if str(day) not in written:
+            # File names are unique per write: an old file still there means that no row
+            # of this day was written.
+            if before[day] & self._files(name, day):
                 self.spark.createDataFrame([], rest).write.mode("overwrite").parquet(
-                    f"{self.path(name)}/{spec.partition}={day}"
+                    self._day_path(name, day)
                 )
 
+    def _day_path(self, name: str, day: Day) -> str:
+        return f"{self.path(name)}/{TABLES[name].partition}={day}"
+
+    def _files(self, name: str, day: Day) -> set[str]:
+        return set(matching_paths(self.spark, f"{self._day_path(name, day)}/part-*"))
+
     def replace_all(self, name: str, df: DataFrame) -> None:
         """Replace the whole table. ``df`` must not read the table it replaces."""
         self._writer(name, df).mode("overwrite").option(

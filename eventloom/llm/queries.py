@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eventloom.llm.common import table
 from eventloom.llm.packing import pack_documents
+from eventloom.llm.pii import pii_report
 from eventloom.llm.quality_gam import score_documents
 from eventloom.llm.quality_rules import quality_report
 
@@ -18,6 +19,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_report(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 

@@ -11,6 +11,7 @@ from eventloom.llm.packing import pack_documents
 from eventloom.llm.pii import pii_report
 from eventloom.llm.quality_gam import score_documents
 from eventloom.llm.quality_rules import quality_report
+from eventloom.llm.substring_dedup import remove_repeated_windows
 
 
 def tokenizer_path(name: str) -> str:
@@ -23,6 +24,10 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_report(table(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_windows(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 

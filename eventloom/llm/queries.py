@@ -12,6 +12,7 @@ from eventloom.llm.pii import pii_report
 from eventloom.llm.quality_gam import score_documents
 from eventloom.llm.quality_rules import quality_report
 from eventloom.llm.substring_dedup import remove_repeated_windows
+from eventloom.llm.suffix_dedup import remove_repeated_bytes
 
 
 def tokenizer_path(name: str) -> str:
@@ -42,6 +43,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_bytes(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op")}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))

@@ -122,17 +122,28 @@ def _powers(n: int) -> np.ndarray:
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of the bytes of each word, equal in every process."""
-    if not len(starts):
-        return np.zeros(0, U64)
     lengths = ends - starts
-    within = np.arange(int(lengths.sum()), dtype=np.int64)
-    firsts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-    within -= np.repeat(firsts, lengths)
-    values = _CODES[data[within + np.repeat(starts, lengths)]]
-    values *= _powers(int(lengths.max()))[within]
-    return mix(np.add.reduceat(values, firsts) + lengths.astype(U64))
-
-
-def documents_of(counts: np.ndarray) -> np.ndarray:
-    """Index of the document of each of its items, for counts of items per document."""
-    return np.repeat(np.arange(len(counts)), counts)
+    total = np.cumsum(lengths)
+    out, begin = np.empty(len(starts), U64), 0
+    while begin < len(starts):
+        # About a megabyte at a time, one word at least.
+        before = total[begin] - lengths[begin]
+        stop = max(begin + 1, int(np.searchsorted(total, before + (1 << 20), side="right")))
+        size = lengths[begin:stop]
+        firsts = total[begin:stop] - size - before
+        within = np.arange(int(size.sum()), dtype=np.int64) - np.repeat(firsts, size)
+        values = _CODES[data[within + np.repeat(starts[begin:stop], size)]]
+        values *= _powers(int(size.max()))[within]
+        out[begin:stop] = np.add.reduceat(values, firsts) + size.astype(U64)
+        begin = stop
+    return mix(out)
+
+
+def slices_of_documents(offsets: np.ndarray, size: int = 2 << 20):
+    """Ranges of documents of about ``size`` bytes, one document at least."""
+    begin, n = 0, len(offsets) - 1
+    while begin < n:
+        stop = int(np.searchsorted(offsets, offsets[begin] + size, side="right")) - 1
+        stop = min(n, max(begin + 1, stop))
+        yield begin, stop
+        begin = stop

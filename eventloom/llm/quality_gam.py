@@ -21,7 +21,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import _IS_SPACE, U64, mix, utf8_buffer, word_hashes, word_spans
+from eventloom.llm.common import (
+    _IS_SPACE,
+    U64,
+    mix,
+    slices_of_documents,
+    utf8_buffer,
+    word_hashes,
+    word_spans,
+)
 
 FEATURES = (
     "words", "bytes_per_word", "distinct_words", "repeated_triples", "symbols", "marks",
@@ -59,7 +67,15 @@ def _repeats(keys: np.ndarray, docs: np.ndarray, n: int) -> np.ndarray:
 
 
 def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """A row per document, a column per name in FEATURES."""
+    """A row per document, a column per name in FEATURES; a few megabytes at a time."""
+    parts = [
+        _features(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+        for a, b in slices_of_documents(offsets)
+    ]
+    return np.concatenate(parts) if parts else np.zeros((0, len(FEATURES)))
+
+
+def _features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     n = len(offsets) - 1
     starts, ends, docs = word_spans(data, offsets)
     hashes = word_hashes(data, starts, ends)

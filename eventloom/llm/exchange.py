@@ -79,7 +79,7 @@ def as_table(rows: list[tuple], schema: str) -> pa.Table:
     )
 
 
-def _together(rows: pa.Table, check: type, order: type | None):
+def together(rows: pa.Table, check: type, order: type | None):
     """All keys of a bucket side by side, sorted so that equal ones are adjacent."""
     blobs = rows.column("keys").to_pylist()
     counts = np.array([len(b) // 8 for b in blobs])
@@ -98,7 +98,7 @@ def _together(rows: pa.Table, check: type, order: type | None):
     return counts, keys, by_key, same, orders
 
 
-def _answer_rows(rows: pa.Table, counts: np.ndarray, *bits: np.ndarray) -> pa.Table:
+def answer_rows(rows: pa.Table, counts: np.ndarray, *bits: np.ndarray) -> pa.Table:
     ends = np.cumsum(counts)
     answers = [
         (block, bucket, b"".join(np.packbits(x[end - n : end]).tobytes() for x in bits))
@@ -114,12 +114,12 @@ def shared(check: type):
     """Answer: does any other block have this key?"""
 
     def answer(rows: pa.Table) -> pa.Table:
-        counts, keys, by_key, same, _ = _together(rows, check, None)
+        counts, keys, by_key, same, _ = together(rows, check, None)
         several = same.copy()
         several[:-1] |= same[1:]
         bits = np.zeros(len(keys), bool)
         bits[by_key] = several
-        return _answer_rows(rows, counts, bits)
+        return answer_rows(rows, counts, bits)
 
     return answer
 
@@ -146,9 +146,9 @@ def earlier(check: type, order: type):
     def answer(rows: pa.Table) -> pa.Table:
         if rows.column("bucket")[0].as_py() < 0:
             return pa.table([rows["block"], rows["bucket"], rows["keys"]], ["block", "bucket", "bits"])
-        counts, _, by_key, same, orders = _together(rows, check, order)
+        counts, _, by_key, same, orders = together(rows, check, order)
         blocks = np.repeat(rows.column("block").to_numpy(), counts)
-        return _answer_rows(rows, counts, _behind_first(by_key, same, orders, blocks))
+        return answer_rows(rows, counts, _behind_first(by_key, same, orders, blocks))
 
     return answer
 
@@ -157,7 +157,7 @@ def shared_and_earlier(check: type, order: type):
     """Two answers: has any other block this key; has one before ours key and check bits?"""
 
     def answer(rows: pa.Table) -> pa.Table:
-        counts, keys, by_key, same, orders = _together(rows, check, order)
+        counts, keys, by_key, same, orders = together(rows, check, order)
         blocks = np.repeat(rows.column("block").to_numpy(), counts)
         behind = _behind_first(by_key, same, orders, blocks)
         k = keys[by_key]
@@ -169,7 +169,7 @@ def shared_and_earlier(check: type, order: type):
         )[np.cumsum(~alike) - 1]
         bits = np.zeros(len(k), bool)
         bits[by_key] = several
-        return _answer_rows(rows, counts, bits, behind)
+        return answer_rows(rows, counts, bits, behind)
 
     return answer
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from eventloom.llm.common import table
+from eventloom.llm.jaccard_join import set_classes
 from eventloom.llm.packing import pack_documents
 from eventloom.llm.pii import pii_report
 from eventloom.llm.quality_gam import score_documents
@@ -21,6 +22,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return set_classes(table(spark, sf_dir, "documents"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_report(table(spark, sf_dir, "documents"))
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eventloom.llm.common import table
 from eventloom.llm.jaccard_join import set_classes
+from eventloom.llm.order_minhash import compare_with_next
 from eventloom.llm.packing import pack_documents
 from eventloom.llm.pii import pii_report
 from eventloom.llm.quality_gam import score_documents
@@ -48,6 +49,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_with_next(table(spark, sf_dir, "documents"))
+
+
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_bytes(table(spark, sf_dir, "documents"))
 

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eventloom.llm.common import table
 from eventloom.llm.jaccard_join import set_classes
+from eventloom.llm.license_scan import scan_licences
 from eventloom.llm.order_minhash import compare_with_next
 from eventloom.llm.packing import pack_documents
 from eventloom.llm.pii import pii_report
+from eventloom.llm.piece_encoding import encode_documents
 from eventloom.llm.quality_gam import score_documents
 from eventloom.llm.quality_rules import quality_report
 from eventloom.llm.substring_dedup import remove_repeated_windows
@@ -23,6 +25,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licences(table(spark, sf_dir, "documents"))
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return set_classes(table(spark, sf_dir, "documents"))
 
@@ -57,6 +63,12 @@ def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_bytes(table(spark, sf_dir, "documents"))
 
 
+def op10_sentencepiece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(
+        table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op")}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))

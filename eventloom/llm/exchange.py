@@ -26,16 +26,22 @@ ANSWERS = "block int, bucket int, bits binary"
 
 
 def blocked(
-    docs: DataFrame, id_column: str, text_column: str, block_bytes: int, bucket_bytes: int
+    docs: DataFrame, id_column: str, text_column: str, block_bytes: int, bucket_bytes: int,
+    carry: bool = False,
 ) -> tuple[DataFrame, int]:
-    """(block, doc_id, text) of all rows, and the number of buckets. NULL texts are empty."""
+    """(block, doc_id, text) of all rows, and the number of buckets. NULL texts are empty.
+
+    With ``carry`` a struct of all other columns comes along, whatever their names.
+    """
+    others = [c for c in docs.columns if c not in (id_column, text_column)]
+    more = [F.struct(*others).alias("carried")] if carry and others else []
     rows = docs.select(
-        F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")
+        F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), *more
     )
     _, size = text_bytes(rows, "text")
     blocks, buckets = -(-size // block_bytes) or 1, -(-size // bucket_bytes) or 1
     place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")
-    return rows.select(place.alias("block"), "doc_id", "text"), buckets
+    return rows.select(place.alias("block"), *rows.columns), buckets
 
 
 def in_order(rows: pa.Table) -> pa.Table:

@@ -413,3 +413,19 @@ def set_classes(
     return sets.select("doc_id", *key).join(named, key, "left").select(
         "doc_id", "n_shingles", F.coalesce("class", "doc_id").alias("component_id")
     )
+
+
+def one_per_class(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options
+) -> DataFrame:
+    """``docs`` without the documents that are linked with one of a smaller id.
+
+    Rows with a NULL id stay unless they are linked with a row that has one. Of rows with
+    one id each stays if the id does.
+    """
+    classes = set_classes(docs, id_column, text_column, **options)
+    stay = classes.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(
+        F.col("doc_id").alias("__stays")
+    )
+    stay = written(stay.distinct(), "jaccard-stay")
+    return docs.join(stay, F.col(id_column).eqNullSafe(F.col("__stays")), "left_semi")

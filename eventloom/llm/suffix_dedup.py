@@ -257,15 +257,19 @@ class _Refinement:
             part = slice(offsets[i], offsets[i + 1])
             kept = (data[part][~removed[part]] if gone else data[part]).tobytes()
             digests.append(hashlib.sha256(kept).hexdigest())
-            left.append(kept)
+            if self.texts:
+                left.append(kept.decode("utf-8", errors="ignore"))
         columns = [
             rows.column("doc_id"), pa.array(np.diff(offsets)), pa.array(n_removed),
             pa.array(np.diff(spans[offsets])), pa.array(digests),
         ]
         names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
         if self.texts:
-            columns += [pa.array(left, pa.binary()), rows.column("text")]
-            names += ["kept", "text"]
+            columns += [pa.array(left, pa.string()), rows.column("text").is_null()]
+            names += ["kept_text", "was_null"]
+        if "carried" in rows.column_names:
+            columns.append(rows.column("carried"))
+            names.append("carried")
         return pa.table(columns, names)
 
 
@@ -276,19 +280,22 @@ def remove_repeated_bytes(
     length: int = 100,
     keep_texts: bool = False,
     block_bytes: int = 4 << 20,
-    bucket_bytes: int = 16 << 20,
+    bucket_bytes: int = 6 << 20,
 ) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row of ``docs``.
 
-    With ``keep_texts`` also ``kept``, the bytes that stay, and ``text`` as it was. Of equal
+    With ``keep_texts`` also ``kept_text``, whether the text was NULL and, in the struct
+    ``carried``, the other columns, which are not looked at otherwise. A character of which
+    only some bytes go is left out of ``kept_text`` whole. Of equal
     strings the one in the smallest id stays, in one document the first; rows with the same
     id count in the order of their blocks, a NULL id before all others. NULL texts are empty;
-    texts shorter than ``length`` bytes lose nothing. An empty table gives no rows; other
-    columns are not looked at.
+    texts shorter than ``length`` bytes lose nothing. An empty table gives no rows.
     """
     if length < 2 * Q:
         raise ValueError(f"length must be at least {2 * Q}")
-    rows, buckets = blocked(docs, id_column, text_column, block_bytes, bucket_bytes)
+    rows, buckets = blocked(
+        docs, id_column, text_column, block_bytes, bucket_bytes, carry=keep_texts
+    )
     ids = docs.agg(F.min(id_column), F.max(id_column)).first()
     least, most = (ids[0] or 0, ids[1] or 0)
     # Four bytes per rank where the ids' range allows.
@@ -299,7 +306,9 @@ def remove_repeated_bytes(
         f"doc_id {id_kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
     if keep_texts:
-        schema += ", kept binary, text string"
+        schema += ", kept_text string, was_null boolean"
+        if "carried" in rows.columns:
+            schema += f", carried {rows.schema['carried'].dataType.simpleString()}"
     by_block = rows.groupBy("block")
     settled = (
         by_block.applyInArrow(lambda rows: work.ask_runs(rows), QUESTIONS)
@@ -315,3 +324,18 @@ def remove_repeated_bytes(
     return by_block.cogroup(answers.groupBy("block")).applyInArrow(
         lambda rows, found: work.remove(rows, found), schema
     )
+
+
+def without_repeated_bytes(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options
+) -> DataFrame:
+    """``docs`` with repeated strings cut out of their texts; same columns.
+
+    Rows of which nothing is left are dropped; empty and NULL texts stay as they are.
+    """
+    found = remove_repeated_bytes(docs, id_column, text_column, keep_texts=True, **options)
+    text = F.when(~F.col("was_null"), F.col("kept_text"))
+    named = {id_column: F.col("doc_id"), text_column: text}
+    return found.where("n_removed = 0 or n_removed < n_bytes").select(
+        *[named.get(c, F.col(f"carried.`{c}`")).alias(c) for c in docs.columns]
+    )

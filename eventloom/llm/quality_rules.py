@@ -30,7 +30,7 @@ RULES: dict[str, tuple[str, tuple[float, ...]]] = {
 }
 STRATA = ("en", "de", "fr", "es")
 OTHER = "other"
-MEASURED = "rule_counts"
+MEASURED = "__counts"  # names with two underscores are ours
 
 
 def _let(value: Column, use) -> Column:
@@ -185,7 +185,7 @@ def verdicts(
     measured: DataFrame, chosen: DataFrame, stratum_column: str, counts: str = MEASURED,
     strata: Sequence[str] = STRATA,
 ) -> DataFrame:
-    """``measured`` with ``base_failed`` and ``kept``.
+    """``measured`` with ``__base_failed`` and ``__kept``.
 
     The cut-offs are a row per stratum of a fixed list, so broadcasting them is bounded.
     """
@@ -201,8 +201,8 @@ def verdicts(
         rejected |= F.coalesce(_value(rule, counts) > F.col(f"__{rule}"), F.lit(False))
     base = base_failed(counts)
     return (
-        rows.withColumn("base_failed", base)
-        .withColumn("kept", ~F.col("base_failed") & ~rejected)
+        rows.withColumn("__base_failed", base)
+        .withColumn("__kept", ~F.col("__base_failed") & ~rejected)
         .drop("__in", "__stratum", *[f"__{rule}" for rule in RULES])
     )
 
@@ -247,7 +247,8 @@ def quality_report(
     measured = written(measure(rows, "__text").drop("__text"), "rule-counts")
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return judged(measured, labels.withColumnRenamed(id_column, "doc_id"), **options).select(
-        "doc_id", *[F.col(f"{MEASURED}.{n}").alias(n) for n in names], "base_failed", "kept"
+        "doc_id", *[F.col(f"{MEASURED}.{n}").alias(n) for n in names],
+        F.col("__base_failed").alias("base_failed"), F.col("__kept").alias("kept"),
     )
 
 
@@ -263,6 +264,6 @@ def keep_good(
     measured = written(measure(docs, text_column), "rule-documents")
     return (
         judged(measured, labels, id_column=id_column, stratum_column=stratum_column, **options)
-        .where("kept")
+        .where("__kept")
         .select(*docs.columns)
     )

@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventloom.llm.common import _CODES, U64, mix, utf8_buffer
 from eventloom.llm.exchange import (
@@ -307,8 +308,9 @@ def remove_repeated_bytes(
     )
     if keep_texts:
         schema += ", kept_text string, was_null boolean"
-        if "carried" in rows.columns:
-            schema += f", carried {rows.schema['carried'].dataType.simpleString()}"
+    schema = T.StructType.fromDDL(schema)
+    if "carried" in rows.columns:
+        schema = schema.add("carried", rows.schema["carried"].dataType)
     by_block = rows.groupBy("block")
     settled = (
         by_block.applyInArrow(lambda rows: work.ask_runs(rows), QUESTIONS)

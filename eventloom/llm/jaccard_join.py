@@ -4,18 +4,20 @@
    ordered rarest first; two sets as similar as asked share one of the first few (the
    prefix). N-grams no other document has cannot be shared, so only the rest are indexed.
 2. Equal sets are one set from here on.
-3. Index lists are read twice. First each set meets one set of nearly its size in each list,
-   and the partner it meets most often is compared in full. A set found similar is a
-   relation to build on: it takes over the answers of its partner, and all sets that are
-   linked this way form classes.
-4. Then pairs within a class are skipped, their answer being known. Other pairs are read
-   from the lists block by block: entries lie in blocks by position, and a block is skipped
-   whole where position and size leave too few common n-grams. What remains is compared in
-   full, and its links join classes.
-
-No link between different classes is lost, as every pair with a common prefix n-gram that
-could reach the threshold is compared or already in one class. A list too long for one
-task is dealt out in parts, and pairs of parts are read by tasks of their own.
+3. Index lists are read block by block: entries lie in blocks by position, and a block is
+   skipped whole where position and size leave too few common n-grams. Pairs that remain
+   must agree in a parity signature, which bounds the number of n-grams they differ in.
+4. Of the pairs that pass, a set takes over the answers of a set it is found similar to: a
+   pair whose sets are already related through others in the list is skipped. The pairs
+   read are compared in full, and the links found form classes.
+5. A pair that looked similar and is not breaks the relations built on it. While there are
+   such pairs, lists of more than one class are read again, with what is known about pairs
+   and classes; the last time nothing is skipped but pairs within a class.
+
+No link between different classes is lost: every pair with a common prefix n-gram that
+could reach the threshold is compared, or its sets are in one class by compared links. A
+list too long for one task is dealt out in parts, and pairs of parts are read by tasks of
+their own.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.llm.common import U64, mix, utf8_buffer, word_hashes, word_spans, written
@@ -42,7 +44,7 @@ from eventloom.llm.exchange import (
 
 SETS = (
     "n_shingles long, key_high long, key_low long, tokens array<long>, places array<int>, "
-    "shingles binary"
+    "shingles binary, signature binary"
 )
 # Document frequencies are told apart at these; the rarest n-grams come first.
 _CLASSES = (2, 4, 16, 256, 4096, 65536, 1 << 20)
@@ -121,6 +123,49 @@ def least_common(total: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * total // (100 + percent))
 
 
+def signature(grams: np.ndarray) -> bytes:
+    """Parity of the number of n-grams in each of about four cells per n-gram.
+
+    An n-gram in one of two sets only changes one cell, so the sets differ in at least as
+    many n-grams as their signatures in cells. A longer signature folds into a shorter one.
+    """
+    cells = 8 * min(1024, max(64, 1 << (len(grams) // 2).bit_length()))
+    counts = np.bincount((grams & U64(cells - 1)).astype(np.int64), minlength=cells)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+class _Signatures:
+    """Signatures of a task's sets, compared pair by pair at the shorter length."""
+
+    def __init__(self, blobs: list[bytes]):
+        self.size = np.array([len(b) for b in blobs])
+        self.blobs, self.folded = blobs, {}
+
+    def _at(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows at one length, and the row of each set; longer ones are folded."""
+        if size not in self.folded:
+            chosen = np.flatnonzero(self.size >= size)
+            table = np.zeros((len(chosen), size // 8), U64)
+            for k, i in enumerate(chosen.tolist()):
+                parts = np.frombuffer(self.blobs[i], U64).reshape(-1, size // 8)
+                table[k] = np.bitwise_xor.reduce(parts, axis=0)
+            row = np.zeros(len(self.size), np.int64)
+            row[chosen] = np.arange(len(chosen))
+            self.folded[size] = table, row
+        return self.folded[size]
+
+    def cells_apart(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(x), np.int64)
+        shorter = np.minimum(self.size[x], self.size[y])
+        for size in np.unique(shorter).tolist():
+            table, row = self._at(size)
+            at = np.flatnonzero(shorter == size)
+            for part in np.array_split(at, 1 + len(at) * size // (8 << 20)):
+                apart = table[row[x[part]]] ^ table[row[y[part]]]
+                out[part] = np.bitwise_count(apart).sum(axis=1)
+        return out
+
+
 def _describe(width: int, buckets: int, percent: int):
     """Each document's set: size, key, indexed n-grams with places, and all n-grams."""
 
@@ -147,14 +192,14 @@ def _describe(width: int, buckets: int, percent: int):
         lists = lambda values, kind: pa.ListArray.from_arrays(
             pa.array(ends, pa.int32()), pa.array(values, kind)
         )
-        blobs = [
-            grams[first[i] : first[i] + n[i]].tobytes() if per_row[i] else None
-            for i in range(len(rows))
-        ]
+        own = [grams[first[i] : first[i] + n[i]] if per_row[i] else None for i in range(len(rows))]
+        blobs = [None if g is None else g.tobytes() for g in own]
+        signatures = [None if g is None else signature(g) for g in own]
         return pa.table(
             [rows.column("doc_id"), pa.array(n), pa.array(key[0].view(np.int64)),
              pa.array(key[1].view(np.int64)), lists(tokens, pa.int64()),
-             lists(place[indexed], pa.int32()), pa.array(blobs, pa.binary())],
+             lists(place[indexed], pa.int32()), pa.array(blobs, pa.binary()),
+             pa.array(signatures, pa.binary())],
             ["doc_id", *[c.split()[0] for c in SETS.split(", ")]],
         )
 
@@ -188,27 +233,6 @@ def _size_floor(n: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * n // 100)
 
 
-def _first_partners(percent: int):
-    """Pairs of each entry with the next smaller and the smallest possible one of its list."""
-
-    def partners(rows: pa.Table) -> pa.Table:
-        _, sets, n, place, cuts = _sorted_lists(rows)
-        begin = np.repeat(cuts[:-1], np.diff(cuts))
-        here = np.arange(len(sets))
-        # Sizes within a list ascend; lists are set apart by a number larger than any size.
-        apart = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts)) * (int(n.max()) + 1)
-        low = np.searchsorted(apart + n, apart + _size_floor(n, percent))
-        found = []
-        for other in (low, here - 1):
-            ok = (other >= low) & (other >= begin) & (other < here)
-            x, y = here[ok], other[ok]
-            ok = (sets[x] != sets[y]) & _may_reach(n[x], n[y], place[x], place[y], percent)
-            found.append((sets[x][ok], sets[y][ok]))
-        return pa.table([np.concatenate([f[k] for f in found]) for k in (0, 1)], ["a", "b"])
-
-    return partners
-
-
 def _blocks_of(n: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
     """Entries of one list in blocks by position."""
     order = np.lexsort((n, place))
@@ -245,24 +269,76 @@ def _skipping(n, place, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]
                 yield x, second[np.repeat(begin[s : s + 256], count) + within]
 
 
-def _other_pairs(percent: int):
-    """Pairs of different classes that may be similar, each once per task."""
+class _Relations:
+    """Which labels are related so far: a forest over those seen in this task."""
+
+    def __init__(self):
+        self.parent: dict[int, int] = {}
+
+    def root(self, label: int) -> int:
+        parent = self.parent
+        while (up := parent.get(label, label)) != label:
+            parent[label] = parent.get(up, up)
+            label = up
+        return label
+
+    def roots(self, labels: np.ndarray) -> np.ndarray:
+        distinct, inverse = np.unique(labels, return_inverse=True)
+        return np.array([self.root(x) for x in distinct.tolist()], np.int64)[inverse]
+
+    def relate(self, a: int, b: int) -> bool:
+        a, b = self.root(a), self.root(b)
+        self.parent[max(a, b)] = min(a, b)
+        return a != b
+
+
+def _candidates(percent: int, skip: bool):
+    """Pairs of different classes that may be similar; with ``skip`` only those not related
+    through pairs already read."""
 
     def pairs(rows: pa.Table) -> pa.Table:
         order, sets, n, place, cuts = _sorted_lists(rows)
         label, part, left, right = (
             rows.column(c).to_numpy()[order] for c in ("label", "part", "left", "right")
         )
-        found = [np.zeros((0, 2), np.int64)]
-
-        def keep(x: np.ndarray, y: np.ndarray) -> None:
+        distinct, at, number = np.unique(sets, return_index=True, return_inverse=True)
+        blobs = rows.column("signature").take(pa.array(order[at])).to_pylist()
+        signatures, relations = _Signatures(blobs), _Relations()
+        failed = {
+            (int(a), b)
+            for a, others in zip(distinct, rows.column("failed").take(pa.array(order[at])).to_pylist(), strict=True)
+            for b in others or ()
+        }
+        found: list[np.ndarray] = []
+
+        def read(x: np.ndarray, y: np.ndarray) -> None:
             # Entries of two parts only meet entries of the other part.
             ok = (label[x] != label[y]) & ((left[x] == right[x]) | (part[x] != part[y]))
+            ok &= _may_reach(n[x], n[y], place[x], place[y], percent)
             x, y = x[ok], y[ok]
-            ok = _may_reach(n[x], n[y], place[x], place[y], percent)
-            both = np.stack((sets[x][ok], sets[y][ok]), axis=1)
-            if len(both):
+            total = n[x] + n[y]
+            most = total - 2 * least_common(total, percent)
+            ok = signatures.cells_apart(number[x], number[y]) <= most
+            x, y = x[ok], y[ok]
+            if failed:
+                ok = np.array(
+                    [(a, b) not in failed for a, b in zip(sets[x].tolist(), sets[y].tolist(), strict=True)],
+                    bool,
+                )
+                x, y = x[ok], y[ok]
+            if not skip:
+                both = np.stack((sets[x], sets[y]), axis=1)
                 found.append(np.unique(np.sort(both, axis=1), axis=0))
+                return
+            while len(x):
+                # One pair for each class met, then what these did not relate.
+                a, b = relations.roots(label[x]), relations.roots(label[y])
+                open_ = a != b
+                x, y, b = x[open_], y[open_], b[open_]
+                _, first = np.unique(b, return_index=True)
+                for i in first.tolist():
+                    if relations.relate(int(label[x[i]]), int(label[y[i]])):
+                        found.append(np.sort(sets[[x[i], y[i]]])[None])
 
         size = np.diff(cuts)
         begin = np.repeat(cuts[:-1], size)
@@ -271,26 +347,23 @@ def _other_pairs(percent: int):
         low = np.maximum(np.searchsorted(apart + n, apart + _size_floor(n, percent)), begin)
         short = np.repeat(size <= _DENSE, size)
         for s in range(0, len(sets), 8192):
-            part_of = here[s : s + 8192][short[s : s + 8192]]
-            count = part_of - low[part_of]
-            x = np.repeat(part_of, count)
+            some = here[s : s + 8192][short[s : s + 8192]]
+            count = some - low[some]
+            x = np.repeat(some, count)
             within = np.arange(len(x)) - np.repeat(np.cumsum(count) - count, count)
-            keep(x, np.repeat(low[part_of], count) + within)
+            read(x, np.repeat(low[some], count) + within)
         for k in np.flatnonzero(size > _DENSE).tolist():
             own = slice(cuts[k], cuts[k + 1])
-            if label[own].min() == label[own].max():
-                continue
             for x, y in _skipping(n[own], place[own], percent):
-                keep(x + cuts[k], y + cuts[k])
-            found[:] = [np.unique(np.concatenate(found), axis=0)]
-        both = np.unique(np.concatenate(found), axis=0)
+                read(x + cuts[k], y + cuts[k])
+        both = np.unique(np.concatenate([np.zeros((0, 2), np.int64), *found]), axis=0)
         return pa.table([both[:, 0], both[:, 1]], ["a", "b"])
 
     return pairs
 
 
 def _similar(percent: int):
-    """Links among pairs, by counting the common elements of both sorted sets."""
+    """Whether each pair is similar, by counting the common elements of both sets."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -302,18 +375,20 @@ def _similar(percent: int):
                 both = np.sort(np.concatenate((x, y)), kind="stable")
                 common = int((both[1:] == both[:-1]).sum())
                 ok.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), pa.array(ok, pa.bool_())], ["a", "b", "ok"]
+            )
 
     return compare
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs that are similar; a join brings each pair its two sets."""
+    """Pairs with ``ok``: a join brings each pair its two sets."""
     full = sets.where(F.col("shingles").isNotNull()).select("doc_id", "shingles")
     x = full.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
     y = full.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
     rows = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-    return rows.mapInArrow(_similar(percent), _PAIRS)
+    return rows.mapInArrow(_similar(percent), f"{_PAIRS}, ok boolean")
 
 
 # -- the join --------------------------------------------------------------------------
@@ -326,6 +401,7 @@ def set_classes(
     width: int = 3,
     percent: int = 90,
     list_part: int = 20_000,
+    turns: int = 4,
     block_bytes: int = 4 << 20,
     bucket_bytes: int = 16 << 20,
 ) -> DataFrame:
@@ -371,41 +447,59 @@ def set_classes(
         "jaccard-lists",
     )
     part = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("set"), "parts")).otherwise(0)
-    listed = listed.withColumn("part", part.cast("int"))
-
-    met = (
-        listed.groupBy(F.pmod(F.xxhash64("token", "part"), F.lit(buckets * 4)).alias("deal"))
-        .applyInArrow(_first_partners(percent), _PAIRS)
-        .groupBy("a", "b")
-        .agg(F.count(F.lit(1)).alias("times"))
-    )
-    best = Window.partitionBy("a").orderBy(F.desc("times"), "b")
-    first = met.withColumn("rank", F.row_number().over(best)).where("rank = 1").select("a", "b")
-    links = written(_compared(first, sets, percent), "jaccard-links")
-    classes = components(links)
-
-    labels = classes.select(F.col("node").alias("set"), "label")
-    labelled = listed.join(labels, "set", "left").withColumn(
-        "label", F.coalesce("label", "set")
-    )
-    labelled = written(labelled, "jaccard-labelled")
-    mixed = labelled.groupBy("token").agg(
-        F.min("label").alias("low"), F.max("label").alias("high")
+    signed = sets.where(F.col("signature").isNotNull()).select(
+        F.col("doc_id").alias("set"), "signature"
     )
-    open_lists = labelled.join(mixed.where("low < high").select("token"), "token", "left_semi")
-    # A long list's parts meet two by two.
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    dealt = open_lists.withColumn("with", other).select(
-        "token", "set", "n", "place", "label", "part",
-        F.least("part", "with").alias("left"), F.greatest("part", "with").alias("right"),
-    )
-    more = (
-        dealt.groupBy(F.pmod(F.xxhash64("token", "left", "right"), F.lit(buckets * 4)).alias("deal"))
-        .applyInArrow(_other_pairs(percent), _PAIRS)
-        .distinct()
+    listed = written(
+        listed.withColumn("part", part.cast("int")).join(
+            signed.dropDuplicates(["set"]), "set"
+        ),
+        "jaccard-entries",
     )
-    all_links = links.union(_compared(written(more, "jaccard-pairs"), sets, percent))
-    final = components(all_links)
+
+    links = failed = classes = None
+    for turn in range(turns):
+        entries = listed
+        if classes is None:
+            entries = entries.withColumn("label", F.col("set"))
+            entries = entries.withColumn("failed", F.array().cast("array<long>"))
+        else:
+            labels = classes.select(F.col("node").alias("set"), "label")
+            both = failed.union(failed.select(F.col("b"), F.col("a")))
+            others = both.groupBy(F.col("a").alias("set")).agg(F.collect_set("b").alias("failed"))
+            entries = (
+                entries.join(labels, "set", "left")
+                .withColumn("label", F.coalesce("label", "set"))
+                .join(others, "set", "left")
+            )
+            several = entries.groupBy("token").agg(
+                F.min("label").alias("low"), F.max("label").alias("high")
+            )
+            entries = entries.join(
+                several.where("low < high").select("token"), "token", "left_semi"
+            )
+        # A long list's parts meet two by two.
+        other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+        dealt = entries.withColumn("with", other).select(
+            "token", "set", "n", "place", "label", "part", "signature", "failed",
+            F.least("part", "with").alias("left"), F.greatest("part", "with").alias("right"),
+        )
+        deal = F.pmod(F.xxhash64("token", "left", "right"), F.lit(buckets * 4))
+        pairs = (
+            dealt.groupBy(deal.alias("deal"))
+            .applyInArrow(_candidates(percent, skip=turn < turns - 1), _PAIRS)
+            .distinct()
+        )
+        compared = written(
+            _compared(written(pairs, "jaccard-pairs"), sets, percent).distinct(), "jaccard-compared"
+        )
+        good, bad = compared.where("ok").select("a", "b"), compared.where("not ok").select("a", "b")
+        links = good if links is None else links.union(good)
+        failed = bad if failed is None else failed.union(bad)
+        classes = components(links)
+        if bad.isEmpty():
+            break
+    final = classes
 
     named = equal.join(final.withColumnRenamed("node", "rep"), "rep", "left").select(
         *key, F.coalesce("label", "rep").alias("class")

@@ -99,18 +99,23 @@ def base_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k != 0, F.floor(us / (MICROS_PER_DAY // 4))).alias("param_ga_session_id"),
         (F.floor(us / MICROS_PER_DAY) - 18585).alias("param_ga_session_number"),
         F.when(k % 5 != 0, F.floor(F.col("value") * 100)).alias("param_engagement_time_msec"),
-        _choice(user % 3, "desktop", "mobile", "tablet").alias("category"),
-        _choice(user % 4, "google", "(direct)", "shop.example", None).alias("source"),
-        _choice(user % 4, "cpc", "(none)", "referral", None).alias("medium"),
+        # Device, channel and place change from event to event, with NULLs and ties.
+        _choice((user + k) % 4, "desktop", "mobile", "tablet", None).alias("category"),
         _choice(
-            user % 8, "United States", "United States", "Canada", "India", "Georgia",
+            (user + event) % 5, "google", "(direct)", "shop.example", None, "news.example"
+        ).alias("source"),
+        _choice((user + k) % 5, "cpc", "(none)", "referral", None, "email").alias("medium"),
+        _choice(
+            (user + event) % 8, "United States", "United States", "Canada", "India", "Georgia",
             "Nepal", "Atlantis", None,
         ).alias("country"),
         _choice(
-            user % 8, "California", "Georgia", "Newfoundland and Labrador", None, None,
-            None, None, None,
+            (user + event) % 8, "California", "Georgia", "Newfoundland and Labrador", None,
+            None, None, None, None,
         ).alias("region"),
-        _choice(user % 8, -480, -300, -210, 330, 240, 345, 0, 0).alias("offset_minutes"),
+        _choice((user + event) % 8, -480, -300, -210, 330, 240, 345, 0, 0).alias(
+            "offset_minutes"
+        ),
         F.when(k % 7 != 0, F.concat(F.lit("/p/"), (k % 20).cast("string"))).alias(
             "param_page_location"
         ),

@@ -5,9 +5,13 @@ Dates are shown as text and fractions rounded, so that results compare across en
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import date
+from functools import partial
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.feature import StandardScalerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,11 +21,13 @@ from eventloom.functions import geo_time, labels, scalars
 from eventloom.functions.params import pivot_params
 from eventloom.operators import grouping, ordering
 from eventloom.plans import marts, scoring
+from eventloom.plans.daily import ingest_days, refresh_marts, score_day
 from eventloom.plans.features import model_features
 from eventloom.plans.flatten import flatten_events
 from eventloom.schemas import PREDICTIONS
-from eventloom.sources.csv_files import read_csv_shards, write_csv
-from eventloom.sources.run_log import run_metrics
+from eventloom.sources.csv_files import load_csv, read_csv_shards, scan_csv, write_csv
+from eventloom.sources.guards import MissingInput, require_path, require_rows
+from eventloom.sources.run_log import log_run, run_metrics
 from eventloom.sources.scratch import new_dir
 from eventloom.sources.warehouse import Warehouse, union_days
 from eventloom.streaming.incremental import ingest_new_files
@@ -77,14 +83,23 @@ def partition_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def parameterised_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flat_table(spark, sf_dir).createOrReplaceTempView("day_events")
-    return spark.sql(
-        "SELECT event_name, count(*) AS n, count(DISTINCT user_pseudo_id) AS users "
-        "FROM IDENTIFIER(:events) WHERE event_date >= :since GROUP BY event_name",
-        args={"events": "day_events", "since": "20201120"},
+    warehouse = Warehouse(spark, new_dir(spark, "sql"))
+    warehouse.append("orders", marts.orders(flat_table(spark, sf_dir)))
+    return warehouse.sql(
+        "SELECT event_date, count(*) AS n, count(DISTINCT user_pseudo_id) AS users "
+        "FROM IDENTIFIER(:orders) WHERE event_date >= :since GROUP BY event_date",
+        tables=["orders"],
+        since="20201120",
     )
 
 
+@_query
+def parsed_date_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sessions = session_table(spark, sf_dir)
+    late = sessions.where(F.col("session_date") >= scalars.parse_day(F.lit("20201201")))
+    return _shown(late.groupBy("session_date").agg(F.count("*").alias("n")))
+
+
 @_query
 def struct_access(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
@@ -159,11 +174,24 @@ def group_by_all_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- scalar functions ------------------------------------------------------------------
 
 
+PLACES = (
+    *((country, region) for country, region, _ in geo_time.REGION_OFFSETS),
+    *((country, None) for country, _ in geo_time.COUNTRY_OFFSETS),
+    *((country, "Elsewhere") for country, _ in geo_time.COUNTRY_OFFSETS),
+    ("Atlantis", "California"), (None, "California"), (None, None),
+)
+
+
 @_query
 def offset_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    places = flat_table(spark, sf_dir).select("country", "region")
+    """Every listed place, and some that are not listed, dealt out over the events."""
+    places = spark.createDataFrame(
+        [(i, *place) for i, place in enumerate(PLACES)], "at int, country string, region string"
+    )
+    at = (F.col("event_id") % len(PLACES)).cast("int").alias("at")
+    events = _source_events(spark, sf_dir).select(at).join(F.broadcast(places), "at")
     return (
-        geo_time.with_offset_minutes(places)
+        geo_time.with_offset_minutes(events)
         .groupBy("country", "region", "offset_minutes")
         .agg(F.count("*").alias("n"))
     )
@@ -216,9 +244,10 @@ def _source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def lenient_date_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("k")
-    first_copies = nested_table(spark, sf_dir).dropDuplicates(["event_bundle_sequence_id"])
-    days = first_copies.select(
-        F.col("event_bundle_sequence_id").alias("event_id"), "event_date"
+    days = (
+        nested_table(spark, sf_dir)
+        .select(F.col("event_bundle_sequence_id").alias("event_id"), "event_date")
+        .distinct()
     )
     given = (
         F.when(k % 4 == 0, F.lit("not a day"))
@@ -276,22 +305,6 @@ def text_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_query
-def interval_to_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run_at = F.floor(F.col("event_timestamp") / 1_000_000)
-    return (
-        flat_table(spark, sf_dir)
-        .groupBy(run_at.alias("run_at"))
-        .agg(F.count("*").alias("n"))
-        .withColumn(
-            "day",
-            geo_time.date_of_interval(
-                F.col("run_at"), F.lit(1601769600), F.lit(date(2021, 1, 17))
-            ),
-        )
-    )
-
-
 # -- aggregation -----------------------------------------------------------------------
 
 
@@ -343,8 +356,15 @@ def top_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def approx_top_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grouping.most_frequent_approx(
-        session_table(spark, sf_dir), USER, "session_device", "main_device_category"
+    """How many sessions have the value the sketch names: the largest number, if it is right."""
+    sessions = session_table(spark, sf_dir)
+    top = grouping.most_frequent_approx(sessions, USER, "session_device", "top")
+    counts = sessions.groupBy(USER, "session_device").agg(F.count("*").alias("sessions"))
+    same = F.col("top").eqNullSafe(F.col("session_device"))
+    return (
+        top.withColumnRenamed(USER, "u")
+        .join(counts, (F.col("u") == F.col(USER)) & same)
+        .select(USER, "sessions")
     )
 
 
@@ -485,7 +505,12 @@ def t1_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def t1_daily_summary_exact_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.sessions_per_day(flat_table(spark, sf_dir), exact_session_pairs=True)
+    return _shown(
+        marts.daily_summary(flat_table(spark, sf_dir), exact_session_pairs=True),
+        daily_revenue=2,
+        daily_avg_order_value=4,
+        daily_conversion_rate=4,
+    )
 
 
 @_query
@@ -542,6 +567,15 @@ def t6_user_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.user_features(flat_table(spark, sf_dir), session_table(spark, sf_dir))
 
 
+@_query
+def t6_user_features_from_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flat = flat_table(spark, sf_dir)
+    totals = marts.user_event_totals_from_days(
+        marts.user_day_totals(flat), marts.user_day_facts(flat)
+    )
+    return marts.user_features_of(totals, session_table(spark, sf_dir))
+
+
 # -- model features and scoring --------------------------------------------------------
 
 
@@ -597,28 +631,139 @@ def run_metrics_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(run_metrics(trend), value=4)
 
 
+def _users_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return model_features(flat_table(spark, sf_dir), by=(USER, "event_date"))
+
+
+def _probabilities(scored: DataFrame, digits: int | None = None) -> DataFrame:
+    p = F.get(scoring.vector_to_array("probability"), F.lit(1))
+    return scored.select(USER, (p if digits is None else F.round(p, digits)).alias("probability"))
+
+
 @_query
 def score_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
-    features = model_features(flat_table(spark, sf_dir))
+    """A probability per user and day, from a model trained on them."""
+    features = _users_by_day(spark, sf_dir)
     model = scoring.train_purchase(features)
-    scored = model.transform(scoring.purchase_matrix(features))
-    return scored.select(
-        USER, F.get(scoring.vector_to_array("probability"), F.lit(1)).alias("probability")
-    )
+    return _probabilities(model.transform(scoring.purchase_matrix(features)))
 
 
 @_query
 def score_churn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flat, sessions = flat_table(spark, sf_dir), session_table(spark, sf_dir)
-    features = model_features(flat)
-    users = marts.user_features(flat, sessions, reference_date=SCORING_DAY)
-    model = scoring.train_churn(features, users)
-    scored = model.transform(scoring.churn_matrix(features))
-    return scored.select(
-        USER, F.get(scoring.vector_to_array("probability"), F.lit(1)).alias("probability")
+    """A probability per user, from a model of who came back after a cut-off."""
+    flat = flat_table(spark, sf_dir)
+    model = scoring.train_churn_on_history(flat, SCORING_DAY, 15)
+    return _probabilities(model.transform(scoring.churn_matrix(model_features(flat))))
+
+
+# Fixed values of models that are given, not trained: mean, deviation and weight of each
+# feature, by its place in the list.
+FIXED_INTERCEPT = -0.25
+
+
+def fixed_values(n: int) -> list[tuple[float, float, float]]:
+    return [(float(i + 1), 2.0 + i / 2, (0.3, -0.2, 0.1)[i % 3]) for i in range(n)]
+
+
+def _fixed_model(spark: SparkSession, columns: Sequence[str]) -> PipelineModel:
+    """The stages a trained model has, with the fixed values."""
+    ml, values = spark._jvm.org.apache.spark.ml, fixed_values(len(columns))
+
+    def vector(numbers: Sequence[float]):
+        array = spark.sparkContext._gateway.new_array(spark._jvm.double, len(numbers))
+        for i, number in enumerate(numbers):
+            array[i] = number
+        return ml.linalg.Vectors.dense(array)
+
+    means, deviations, weights = (vector(v) for v in zip(*values, strict=True))
+    scaler = StandardScalerModel(ml.feature.StandardScalerModel("fixed", deviations, means))
+    scaler._set(inputCol="raw_vector", outputCol="vector", withMean=True, withStd=True)
+    regression = LogisticRegressionModel(
+        ml.classification.LogisticRegressionModel("fixed", weights, FIXED_INTERCEPT)
+    )
+    regression._set(featuresCol="vector")
+    assembler = VectorAssembler(inputCols=list(columns), outputCol="raw_vector")
+    return PipelineModel([assembler, scaler, regression])
+
+
+@_query
+def score_purchase_fixed_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = _fixed_model(spark, scoring.PURCHASE_FEATURES)
+    matrix = scoring.purchase_matrix(model_features(flat_table(spark, sf_dir)))
+    return _probabilities(model.transform(matrix), 4)
+
+
+@_query
+def score_churn_fixed_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = _fixed_model(spark, scoring.CHURN_FEATURES)
+    matrix = scoring.churn_matrix(model_features(flat_table(spark, sf_dir)))
+    return _probabilities(model.transform(matrix), 4)
+
+
+@_query
+def model_label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    features = scoring.purchase_matrix(_users_by_day(spark, sf_dir))
+    return (
+        features.withColumn("bought", scoring.purchase_label())
+        .groupBy("bought")
+        .agg(F.count("*").alias("n"), F.sum("total_events").alias("events"))
     )
 
 
+def _ingested(spark: SparkSession, sf_dir: str, *parts: list[str], **options) -> Warehouse:
+    """A warehouse after a daily run for each list of days."""
+    nested = nested_table(spark, sf_dir)
+    warehouse = Warehouse(spark, new_dir(spark, "daily"))
+    for days in parts:
+        ingest_days(warehouse, nested, days)
+        refresh_marts(warehouse, days, **options)
+    return warehouse
+
+
+@_query
+def daily_scoring_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingest, refresh, train and score the newest day; decisions as their probabilities say."""
+    days = _all_days(flat_table(spark, sf_dir))
+    newest = days[-1]
+    warehouse = Warehouse(spark, new_dir(spark, "scoring"))
+    ingest_days(warehouse, nested_table(spark, sf_dir), days)
+    refresh_marts(warehouse, [newest])
+    score_day(warehouse, newest, new_dir(spark, "models"))
+    c = F.col
+    trend = warehouse.read("prediction_trend").select("prediction_date", "total_users")
+    right = (
+        c("purchase_probability").between(0, 1)
+        & c("churn_probability").between(0, 1)
+        & (c("predicted_purchase") == (c("purchase_probability") >= 0.825).cast("int"))
+        & (c("predicted_churn") == (c("churn_probability") >= 0.65).cast("int"))
+        & (c("value_segment") == labels.value_tier(c("purchase_probability")))
+        & (c("risk_segment") == labels.risk_tier(c("churn_probability")))
+    )
+    rows = warehouse.read("predictions").join(F.broadcast(trend), "prediction_date")
+    return _shown(rows.select(USER, "prediction_date", "total_users", right.alias("right")))
+
+
+@_query
+def empty_day_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day without users: no predictions, a trend row of zeros, no model needed."""
+    days = [_all_days(flat_table(spark, sf_dir))[-1], "20210101"]
+    warehouse = Warehouse(spark, new_dir(spark, "empty"))
+    ingest_days(warehouse, nested_table(spark, sf_dir), days)
+    score_day(warehouse, "20210101", new_dir(spark, "models"))
+    none = warehouse.read("predictions").agg(F.count("*").alias("predicted"))
+    return _shown(warehouse.read("prediction_trend").crossJoin(none))
+
+
+@_query
+def history_churn_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Churn flags as stored after two daily runs; the second changes flags of the first."""
+    days = _all_days(flat_table(spark, sf_dir))
+    early = [d for d in days if d <= "20201205"]
+    warehouse = _ingested(spark, sf_dir, early, days[len(early) :], churn="history")
+    stored = warehouse.read("session_funnel")
+    return _shown(stored.drop("session_engagement_time"))
+
+
 # -- writing ---------------------------------------------------------------------------
 
 
@@ -633,17 +778,126 @@ def _all_days(flat: DataFrame) -> list[str]:
     return sorted(r[0] for r in flat.select("event_date").distinct().collect())
 
 
+@_query
+def csv_scan_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions written with their columns in another order."""
+    path = new_dir(spark, "csv")
+    rows = scoring.predictions(_decided_by_formula(spark, sf_dir), SCORING_DAY)
+    write_csv(rows.select(*sorted(rows.columns, reverse=True)), path)
+    return _shown(scan_csv(spark, path, PREDICTIONS))
+
+
+@_query
+def csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with columns in two orders, one lacking a column and one with an unknown one."""
+    root = new_dir(spark, "csv")
+    rows = scoring.predictions(_decided_by_formula(spark, sf_dir), SCORING_DAY)
+    even = F.col(USER).cast("long") % 2 == 0
+    write_csv(rows.where(even).withColumn("note", F.lit("x, y")), f"{root}/a")
+    rest = rows.where(~even).drop("risk_segment")
+    write_csv(rest.select(*sorted(rest.columns)), f"{root}/b")
+    return _shown(read_csv_shards(spark, f"{root}/*/*.csv", PREDICTIONS))
+
+
+@_query
+def csv_load_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of CSV files loaded twice into a table."""
+    path = new_dir(spark, "csv")
+    warehouse = Warehouse(spark, new_dir(spark, "loaded"))
+    rows = scoring.predictions(_decided_by_formula(spark, sf_dir), SCORING_DAY)
+    write_csv(rows.select(*sorted(rows.columns)), path)
+    for infer in (False, True):
+        load_csv(warehouse, path, "predictions", infer=infer)
+    stored = _shown(warehouse.read("predictions"))
+    return stored.groupBy(*stored.columns).agg(F.count("*").alias("copies"))
+
+
 @_query
 def replace_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders stored twice, by replacing days: the second run changes nothing."""
-    flat = flat_table(spark, sf_dir)
-    days = _all_days(flat)
+    """Orders of all days, then one day with other rows and one day emptied; others stay."""
+    orders = marts.orders(flat_table(spark, sf_dir))
     warehouse = Warehouse(spark, new_dir(spark, "replace"))
     for _ in range(2):
-        warehouse.replace_days("orders", marts.orders(flat), days)
+        warehouse.replace_days("orders", orders, _all_days(flat_table(spark, sf_dir)))
+    day = F.col("event_date")
+    changed = orders.where((day == "20201201") & (F.col("item_count") > 1))
+    for _ in range(2):
+        warehouse.replace_days("orders", changed, ["20201201", "20201202"])
     return _shown(warehouse.read("orders"), order_revenue=2)
 
 
+@_query
+def replace_whole_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table written from some sessions, then replaced by that of all."""
+    sessions = session_table(spark, sf_dir)
+    warehouse = Warehouse(spark, new_dir(spark, "whole"))
+    few = sessions.where(F.col("session_device") == "mobile")
+    for rows in (few, sessions):
+        warehouse.replace_all("device_channel", marts.device_channel(rows))
+    return warehouse.read("device_channel")
+
+
+@_query
+def accumulate_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days accumulated twice, replacing: one copy of each."""
+    days = ["20201201", "20201202"]
+    warehouse = Warehouse(spark, new_dir(spark, "accumulate"))
+    for _ in range(2):
+        ingest_days(warehouse, nested_table(spark, sf_dir), days, accumulate="replace_days")
+    return (
+        warehouse.read("stored_events")
+        .groupBy("event_date", "event_name")
+        .agg(F.count("*").alias("n"))
+    )
+
+
+@_query
+def results_per_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions of two dates in one table; one date is read, through its partition."""
+    decided = _decided_by_formula(spark, sf_dir)
+    warehouse = Warehouse(spark, new_dir(spark, "dates"))
+    for when in (date(2020, 12, 18), SCORING_DAY):
+        warehouse.replace_days("predictions", scoring.predictions(decided, when), [when])
+    return _shown(warehouse.read("predictions", [SCORING_DAY]))
+
+
+def _refused(check: Callable[[], object]) -> bool:
+    try:
+        check()
+    except MissingInput:
+        return True
+    return False
+
+
+@_query
+def guards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the guards say about an input that is there, one that is not and an empty one."""
+    flat = flat_table(spark, sf_dir)
+    nobody = flat.where(F.col(USER) == "nobody")
+    found = {
+        "path_refused": _refused(lambda: require_path(spark, f"{sf_dir}/no_such_table")),
+        "empty_refused": _refused(lambda: require_rows(nobody, "events")),
+        "rows_refused": _refused(lambda: require_rows(flat, "events")),
+    }
+    return flat.agg(F.count("*").alias("n")).withColumns(
+        {name: F.lit(value) for name, value in found.items()}
+    )
+
+
+@_query
+def run_params_and_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trend = scoring.prediction_trend(_decided_by_formula(spark, sf_dir), SCORING_DAY)
+    warehouse = Warehouse(spark, new_dir(spark, "runs"))
+    log_run(warehouse, trend, {"t7_path": "predictions"}, source="checks")
+    run = warehouse.read("runs")
+    return _shown(
+        run.select(
+            "run_name", "prediction_date", F.col("params")["t7_path"].alias("t7_path"),
+            *[F.col("tags")[t].alias(t) for t in ("run_type", "source")],
+        )
+    )
+
+
 @_query
 def append_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders appended twice: every row is there twice."""
@@ -656,12 +910,13 @@ def append_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested events as a landing folder, picked up by the stream, to the daily funnel."""
-    nested = nested_table(spark, sf_dir)
+    """Nested events as a landing folder, picked up by the stream, to the stored funnel."""
     landing = new_dir(spark, "landing")
     warehouse = Warehouse(spark, new_dir(spark, "warehouse"))
-    nested.write.partitionBy("event_date").parquet(landing)
-    ingest_new_files(warehouse, landing, new_dir(spark, "stream"), refresh=False)
-    flat = warehouse.read("raw_events")
-    funnel = marts.funnel_daily(marts.session_funnel(flat))
+    nested_table(spark, sf_dir).write.partitionBy("event_date").parquet(landing)
+    ingest_new_files(
+        warehouse, landing, new_dir(spark, "stream"),
+        refresh=partial(refresh_marts, churn="history"),
+    )
+    funnel = warehouse.read("funnel_daily")
     return _shown(funnel.select("event_date", "funnel_step", "session_cnt", "drop_off_cnt"))

@@ -9,6 +9,7 @@ from typing import Literal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventloom.operators.ordering import with_gap_flag
 from eventloom.plans import marts
 from eventloom.plans.features import model_features
 from eventloom.plans.flatten import Merge, flatten_events
@@ -17,11 +18,13 @@ from eventloom.plans.scoring import (
     prediction_trend,
     predictions,
     score,
-    train_churn,
+    train_churn_on_history,
     train_purchase,
     with_decisions,
 )
+from eventloom.schemas import SESSION_FUNNEL, as_schema
 from eventloom.sources.run_log import log_run
+from eventloom.sources.scratch import new_dir
 from eventloom.sources.warehouse import Warehouse
 
 WriteMode = Literal["replace_days", "append"]
@@ -47,33 +50,75 @@ def ingest_days(
     nested: DataFrame,
     days: Sequence[str],
     merge: Merge = "regroup",
-    accumulate: bool = False,
+    accumulate: WriteMode | None = None,
 ) -> None:
     """Flatten ``days`` of the nested events into ``raw_events``, replacing those days.
 
     ``raw_events`` keeps every day, so it already is the accumulated table.
-    ``accumulate`` also appends the days to a separate ``stored_events``.
+    ``accumulate`` also adds the days to a separate ``stored_events``: appended, where a
+    second run stores a day twice, or replaced.
     """
     chosen = nested.where(F.col("event_date").isin(*days))
     warehouse.replace_days("raw_events", flatten_events(chosen, merge), days)
-    if accumulate:
-        warehouse.accumulate("raw_events", "stored_events", days)
+    if accumulate is not None:
+        warehouse.accumulate(
+            "raw_events", "stored_events", days, replace=accumulate == "replace_days"
+        )
+
+
+def _revise_churn(warehouse: Warehouse, days: Sequence[date], gap_days: int) -> list[date]:
+    """Bring the stored churn flags of the users seen on ``days`` up to date.
+
+    A new day can only change flags of users that are active on it. Their stored sessions
+    are flagged anew; days with a flag that differs are rewritten, from a copy, because a
+    table cannot be read while it is replaced. Returns those days: short dates, at most
+    one per calendar day.
+    """
+    stored = warehouse.read("session_funnel")
+    keys = ["user_pseudo_id", "session_date", "ga_session_id"]
+    active = stored.where(F.col("session_date").isin(*days)).select("user_pseudo_id").distinct()
+    theirs = stored.select(*keys, F.col("churn_session_flag").alias("before")).join(
+        active, "user_pseudo_id", "left_semi"
+    )
+    flagged = with_gap_flag(theirs, gap_days, "after").where("before <> after")
+    revised = warehouse.spark.read.parquet(_copied(warehouse, flagged.drop("before"), "revised"))
+    touched = [r[0] for r in revised.select("session_date").distinct().collect()]
+    if touched:
+        rows = stored.where(F.col("session_date").isin(*touched)).join(revised, keys, "left")
+        rows = rows.withColumn(
+            "churn_session_flag", F.coalesce("after", "churn_session_flag")
+        )
+        copy = _copied(warehouse, as_schema(rows, SESSION_FUNNEL), "sessions")
+        fresh = warehouse.spark.read.schema(SESSION_FUNNEL).parquet(copy)
+        warehouse.replace_days("session_funnel", fresh, touched)
+    return touched
+
+
+def _copied(warehouse: Warehouse, rows: DataFrame, purpose: str) -> str:
+    path = new_dir(warehouse.spark, purpose)
+    rows.write.parquet(path)
+    return path
 
 
 def refresh_marts(
     warehouse: Warehouse,
     days: Sequence[str],
     mode: WriteMode = "replace_days",
-    stored: str = "raw_events",
+    stored: str | None = None,
     churn: Literal["daily", "history"] = "daily",
     reference_date: date = marts.DEFAULT_REFERENCE_DATE,
+    gap_days: int = marts.DEFAULT_GAP_DAYS,
 ) -> None:
     """Per-day marts for ``days``, then the marts over the whole history.
 
     Each mart reads only its own columns of the day's partitions, which costs less than
     caching the wide rows for all of them. The session mart is written before the marts
-    that read it. In ``history`` mode the churn flag depends on later days, so it is
-    computed over the stored sessions where it is used instead of being rewritten.
+    that read it. In ``history`` mode the stored churn flags of users seen on ``days`` are
+    brought up to date as well.
+
+    The marts over the history are added up from parts per day, so that of the events only
+    ``days`` are read. With ``stored`` the user features are computed from that table of
+    accumulated events instead, all of it.
     """
     flat = warehouse.read("raw_events", days)
     dates = [as_date(d) for d in days]
@@ -81,14 +126,28 @@ def refresh_marts(
     _store(warehouse, "orders", marts.orders(flat), days, mode)
     _store(warehouse, "order_items", marts.order_items(flat), days, mode)
     _store(warehouse, "session_funnel", marts.session_funnel(flat), dates, mode)
+    revised = _revise_churn(warehouse, dates, gap_days) if churn == "history" else []
     day_sessions = warehouse.read("session_funnel", dates)
     _store(warehouse, "funnel_daily", marts.funnel_daily(day_sessions), dates, mode)
+    # The parts per day are derived from what is stored, so they replace their days.
+    changed = sorted({*dates, *revised})
+    parts = marts.device_channel_partials(warehouse.read("session_funnel", changed))
+    warehouse.replace_days("device_channel_daily", parts, changed)
+    warehouse.replace_all(
+        "device_channel",
+        marts.device_channel_from_partials(warehouse.read("device_channel_daily")),
+    )
+    if stored is None:
+        _store(warehouse, "user_day_totals", marts.user_day_totals(flat), days, mode)
+        _store(warehouse, "user_day_facts", marts.user_day_facts(flat), days, mode)
+        totals = marts.user_event_totals_from_days(
+            warehouse.read("user_day_totals"), warehouse.read("user_day_facts")
+        )
+    else:
+        totals = marts.user_event_totals(warehouse.read(stored))
     sessions = warehouse.read("session_funnel")
-    flagged = marts.with_history_churn(sessions) if churn == "history" else sessions
-    warehouse.replace_all("device_channel", marts.device_channel(flagged))
     warehouse.replace_all(
-        "user_features",
-        marts.user_features(warehouse.read(stored), sessions, reference_date),
+        "user_features", marts.user_features_of(totals, sessions, reference_date, gap_days)
     )
 
 
@@ -97,11 +156,15 @@ def score_day(
     day: str,
     model_root: str,
     mode: WriteMode = "replace_days",
+    churn_days: int = marts.DEFAULT_GAP_DAYS,
+    source: str = "eventloom",
 ) -> None:
     """Score the users of one day and store predictions, trend and run log.
 
-    Models are loaded from ``model_root`` or trained and saved there. A day without users
-    stores no predictions and a trend row of zeros, and needs no model.
+    Models are loaded from ``model_root``, or trained on the stored history up to ``day``
+    and saved there: the purchase model on users' days, the churn model on who came back
+    within ``churn_days`` after a cut-off so long before. A day without users stores no
+    predictions and a trend row of zeros, and needs no model.
     """
     when = as_date(day)
     features = model_features(warehouse.read("raw_events", [day])).cache()
@@ -111,12 +174,16 @@ def score_day(
                 {"purchase_probability": F.lit(0.0), "churn_probability": F.lit(0.0)}
             )
         else:
+            history = warehouse.read("raw_events").where(F.col("event_date") <= day)
             purchase = load_or_train(
-                f"{model_root}/purchase", lambda: train_purchase(features)
+                warehouse.spark,
+                f"{model_root}/purchase",
+                lambda: train_purchase(model_features(history, by=("user_pseudo_id", "event_date"))),
             )
             churn = load_or_train(
+                warehouse.spark,
                 f"{model_root}/churn",
-                lambda: train_churn(features, warehouse.read("user_features")),
+                lambda: train_churn_on_history(history, when, churn_days),
             )
             scored = score(features, purchase, churn)
         decided = with_decisions(scored)
@@ -131,6 +198,7 @@ def score_day(
                 "purchase_model_path": f"{model_root}/purchase",
                 "churn_model_path": f"{model_root}/churn",
             },
+            source,
         )
     finally:
         features.unpersist()

@@ -23,10 +23,6 @@ from eventloom.schemas import (
 
 Merge = Literal["regroup", "adaptive", "assume_unique"]
 
-# Largest number of 8-byte fingerprints the adaptive merge will broadcast: 16 MB of keys.
-MAX_BROADCAST_FINGERPRINTS = 2_000_000
-
-
 _EVENT_COLUMNS = [f"{path} AS {name}" for name, path in EVENT_FIELDS.items()]
 
 
@@ -68,27 +64,18 @@ def repeated_fingerprints(nested: DataFrame) -> DataFrame:
     )
 
 
-def _adaptive(nested: DataFrame, max_fingerprints: int) -> DataFrame:
+def _adaptive(nested: DataFrame) -> DataFrame:
     repeated = repeated_fingerprints(nested)
-    found = repeated.limit(max_fingerprints + 1).count()
-    if found == 0:
-        return _unique(nested)
-    if found > max_fingerprints:
-        return _regrouped(nested)
     # The hash stays inside the join condition. As a column it would sit next to the
     # columns it is made of, and the optimizer would derive a constraint for every
     # combination of them.
     same = event_fingerprint() == F.col("fingerprint")
-    once = nested.join(F.broadcast(repeated), same, "left_anti")
-    again = nested.join(F.broadcast(repeated), same, "left_semi")
+    once = nested.join(repeated, same, "left_anti")
+    again = nested.join(repeated, same, "left_semi")
     return _unique(once).unionByName(_regrouped(again))
 
 
-def flatten_events(
-    nested: DataFrame,
-    merge: Merge = "regroup",
-    max_fingerprints: int = MAX_BROADCAST_FINGERPRINTS,
-) -> DataFrame:
+def flatten_events(nested: DataFrame, merge: Merge = "regroup") -> DataFrame:
     """Flat event table of nested events.
 
     ``merge`` picks how repeated rows are merged; the result is the same whenever its
@@ -96,17 +83,17 @@ def flatten_events(
 
     * ``regroup``: group by all event and item columns. Always exact, shuffles the wide
       rows.
-    * ``adaptive``: always exact. First counts event fingerprints (8 bytes per event
-      shuffled, one more read of the source); only events whose fingerprint repeats are
-      regrouped. The repeated fingerprints are broadcast up to ``max_fingerprints``;
-      beyond that every row is regrouped. Starts a job when called.
+    * ``adaptive``: always exact. Counts event fingerprints (8 bytes per event shuffled, one
+      more read of the source); only events whose fingerprint repeats are regrouped. How
+      the two groups of events are told apart, by a broadcast or a shuffled join, is left
+      to Spark, which knows the measured size of the repeated fingerprints.
     * ``assume_unique``: no shuffle at all. For sources that never repeat an event;
       repeated items within one event still merge.
     """
     if merge == "regroup":
         rows = _regrouped(nested)
     elif merge == "adaptive":
-        rows = _adaptive(nested, max_fingerprints)
+        rows = _adaptive(nested)
     elif merge == "assume_unique":
         rows = _unique(nested)
     else:

@@ -47,10 +47,13 @@ from eventloom.plans.flatten import one_row_per_event
 from eventloom.schemas import (
     DAILY_SUMMARY,
     DEVICE_CHANNEL,
+    DEVICE_CHANNEL_DAILY,
     FUNNEL_DAILY,
     ORDER_ITEMS,
     ORDERS,
     SESSION_FUNNEL,
+    USER_DAY_FACTS,
+    USER_DAY_TOTALS,
     USER_FEATURES,
     as_schema,
 )
@@ -71,18 +74,34 @@ def distinct_sessions(flat: DataFrame) -> DataFrame:
 
 
 def sessions_per_day(flat: DataFrame, exact_session_pairs: bool = False) -> DataFrame:
-    session_text = F.col("param_ga_session_id").cast("string")
-    session = (
-        F.struct(USER, "param_ga_session_id")
-        if exact_session_pairs
-        else F.concat(F.col(USER), session_text)
+    """Sessions and users per day, each counted as a group.
+
+    Events are reduced to one row per user and session first. Only those rows are listed
+    once as a session and once as a user, so no event row is multiplied.
+    """
+    user, session = F.col(USER), F.col("param_ga_session_id").cast("string")
+    glued = F.concat(user, session)
+    if exact_session_pairs:
+        # The length in front keeps apart what would read the same glued together.
+        size = F.coalesce(F.length(user).cast("string"), F.lit("-"))
+        glued = F.concat(size, F.lit(":"), F.coalesce(user, F.lit("")), session)
+    facts = F.array(
+        F.struct(F.lit("session").alias("kind"), glued.alias("value")),
+        F.struct(F.lit("user").alias("kind"), user.alias("value")),
     )
     return (
         distinct_sessions(flat)
+        .select("event_date", F.explode(facts).alias("fact"))
+        .select("event_date", "fact.kind", "fact.value")
+        .distinct()
         .groupBy("event_date")
         .agg(
-            F.count_distinct(session).alias("daily_sessions"),
-            F.count_distinct(USER).alias("daily_users"),
+            F.count_if((F.col("kind") == "session") & F.col("value").isNotNull()).alias(
+                "daily_sessions"
+            ),
+            F.count_if((F.col("kind") == "user") & F.col("value").isNotNull()).alias(
+                "daily_users"
+            ),
         )
     )
 
@@ -117,6 +136,28 @@ def shipping_per_day(flat: DataFrame) -> DataFrame:
     )
 
 
+def revenue_and_shipping_per_day(flat: DataFrame) -> DataFrame:
+    """Both of the above from one scan of the two kinds of events they look at."""
+    bought = (F.col("event_name") == "purchase") & F.col("transaction_id").isNotNull()
+    shipped = F.col("event_name") == "add_shipping_info"
+    tier = F.when(shipped, F.col("param_shipping_tier"))
+    per_fact = (
+        flat.where(F.col("event_name").isin("purchase", "add_shipping_info"))
+        .groupBy("event_date", F.when(bought, F.col("transaction_id")).alias("fact"))
+        .agg(
+            F.max(F.when(bought, F.col("purchase_revenue"))).alias("revenue"),
+            F.count_if(tier == "Ground").alias("ground"),
+            F.count_if(tier.isin("Next Day Air", "2 Day Air")).alias("air"),
+        )
+    )
+    return per_fact.groupBy("event_date").agg(
+        F.sum("revenue").alias("daily_revenue"),
+        F.count("fact").alias("daily_transactions"),
+        F.sum("ground").alias("ground_shipping_cnt"),
+        F.sum("air").alias("air_shipping_cnt"),
+    )
+
+
 def daily_summary(
     flat: DataFrame,
     calendar: Sequence[Period] = PROMO_CALENDAR,
@@ -130,10 +171,8 @@ def daily_summary(
     zero = F.lit(0)
     revenue = F.coalesce("daily_revenue", zero.cast("double"))
     transactions = F.coalesce("daily_transactions", zero)
-    joined = (
-        sessions_per_day(flat, exact_session_pairs)
-        .join(revenue_per_day(flat), "event_date", "left")
-        .join(shipping_per_day(flat), "event_date", "left")
+    joined = sessions_per_day(flat, exact_session_pairs).join(
+        revenue_and_shipping_per_day(flat), "event_date", "left"
     )
     summary = joined.select(
         "event_date",
@@ -196,7 +235,7 @@ def order_items(flat: DataFrame, calendar: Sequence[Period] = PROMO_CALENDAR) ->
 
 # -- session funnel --------------------------------------------------------------------
 
-# Output column -> event name it counts.
+# Output column -> event name it counts.
 SESSION_COUNTS = {
     "session_page_views": "page_view",
     "session_view_item_count": "view_item",
@@ -222,24 +261,30 @@ _SESSION_ATTRIBUTES = {
 def session_totals(flat: DataFrame) -> DataFrame:
     """Counts, engagement, first timestamp and one value per attribute of each session.
 
-    One aggregation, partial in the scanning tasks, and one shuffle of a row per session.
+    Events are summed per session and combination of attribute values first, which is a
+    hash aggregation, partial in the scanning tasks. The values seen first are then picked
+    among those few rows per session.
     """
     counts = {name: count_event(event) for name, event in SESSION_COUNTS.items()}
     counts["session_event_count"] = F.count("*")
     counts["session_engagement_time"] = F.sum("param_engagement_time_msec")
-    seen = F.col("event_timestamp")
-    return (
+    seen = F.col("session_start")
+    combined = (
         flat.where(F.col("param_ga_session_id").isNotNull())
-        .groupBy(*_SESSION_KEYS)
+        .groupBy(*_SESSION_KEYS, *_SESSION_ATTRIBUTES.values())
         .agg(
-            F.min(seen).alias("session_start"),
+            F.min("event_timestamp").alias("session_start"),
             *[c.alias(name) for name, c in counts.items()],
-            *[
-                earliest(F.col(column), seen).alias(name)
-                for name, column in _SESSION_ATTRIBUTES.items()
-            ],
         )
     )
+    return combined.groupBy(*_SESSION_KEYS).agg(
+        F.min(seen).alias("session_start"),
+        *[F.sum(name).alias(name) for name in counts],
+        *[
+            earliest(F.col(column), seen).alias(name)
+            for name, column in _SESSION_ATTRIBUTES.items()
+        ],
+    )
 
 
 def with_funnel(totals: DataFrame) -> DataFrame:
@@ -355,8 +400,11 @@ def _channel_sums() -> dict[str, Column]:
 
 def device_channel_partials(sessions: DataFrame) -> DataFrame:
     """Additive sums per day, device and channel: append a day, never recompute one."""
-    return sessions.groupBy("session_date", *_CHANNEL_KEYS).agg(
-        *[c.alias(name) for name, c in _channel_sums().items()]
+    return as_schema(
+        sessions.groupBy("session_date", *_CHANNEL_KEYS).agg(
+            *[c.alias(name) for name, c in _channel_sums().items()]
+        ),
+        DEVICE_CHANNEL_DAILY,
     )
 
 
@@ -399,6 +447,7 @@ def device_channel(sessions: DataFrame) -> DataFrame:
 
 # -- user features ---------------------------------------------------------------------
 
+# Output column -> event name it counts.
 _USER_COUNTS = {
     "total_page_views": "page_view",
     "view_item_count": "view_item",
@@ -448,26 +497,31 @@ def user_event_totals(stored: DataFrame, dedupe_events: bool = False) -> DataFra
     per_session = (
         events.groupBy(USER, session)
         .agg(*[c.alias(n) for n, c in additive.items()])
-        .withColumn("total_sessions", F.when(session.isNotNull(), one).otherwise(one - 1))
+        .withColumn("session", F.when(session.isNotNull(), one))
         .drop("param_ga_session_id")
     )
-    name = F.col("event_name")
     facts = user_facts(stored).select(
-        USER,
-        F.when(name == "view_item", one).alias("unique_items_viewed"),
-        F.when(name == "purchase", one).alias("distinct_purchase_count"),
+        USER, *[F.when(F.col("event_name") == e, one).alias(e) for e in ("view_item", "purchase")]
     )
-    totals = (
-        per_session.unionByName(facts, allowMissingColumns=True)
-        .groupBy(USER)
-        .agg(
-            *[F.sum(n).alias(n) for n in additive],
-            F.sum("total_sessions").alias("total_sessions"),
-            F.coalesce(F.sum("unique_items_viewed"), F.lit(0)).alias("unique_items_viewed"),
-            F.coalesce(F.sum("distinct_purchase_count"), F.lit(0)).alias(
-                "distinct_purchase_count"
-            ),
-        )
+    return _added_up(per_session.unionByName(facts, allowMissingColumns=True))
+
+
+# Output column -> kind of fact it counts.
+_FACT_COUNTS = {
+    "total_sessions": "session",
+    "unique_items_viewed": "view_item",
+    "distinct_purchase_count": "purchase",
+}
+
+
+def _added_up(parts: DataFrame) -> DataFrame:
+    """Sums per user of the measures and of the ones that stand for facts."""
+    totals = parts.groupBy(USER).agg(
+        *[F.sum(n).alias(n) for n in _additive_user_measures()],
+        *[
+            F.coalesce(F.sum(kind), F.lit(0)).alias(name)
+            for name, kind in _FACT_COUNTS.items()
+        ],
     )
     known = F.col(USER).isNotNull()
     return totals.withColumns(
@@ -475,6 +529,44 @@ def user_event_totals(stored: DataFrame, dedupe_events: bool = False) -> DataFra
     )
 
 
+def user_day_totals(flat: DataFrame) -> DataFrame:
+    """Additive measures per day and user: a new day adds rows and changes none."""
+    measures = [c.alias(n) for n, c in _additive_user_measures().items()]
+    return as_schema(flat.groupBy("event_date", USER).agg(*measures), USER_DAY_TOTALS)
+
+
+def user_day_facts(flat: DataFrame) -> DataFrame:
+    """Sessions, viewed items and purchases of a user on a day, each once."""
+    name = F.col("event_name")
+    facts = F.array(
+        F.struct(F.lit("session").alias("kind"),
+                 F.col("param_ga_session_id").cast("string").alias("fact")),
+        F.struct(name.alias("kind"), F.when(name == "view_item", F.col("item_name"))
+                 .when(name == "purchase", F.col("transaction_id")).alias("fact")),
+    )
+    reduced = flat.groupBy(
+        "event_date", USER, "param_ga_session_id", "event_name", "item_name", "transaction_id"
+    ).agg(F.lit(1).alias("any"))
+    rows = reduced.select("event_date", USER, F.explode(facts).alias("f"))
+    return as_schema(
+        rows.select("event_date", USER, "f.kind", "f.fact").where("fact IS NOT NULL").distinct(),
+        USER_DAY_FACTS,
+    )
+
+
+def user_event_totals_from_days(totals: DataFrame, facts: DataFrame) -> DataFrame:
+    """As :func:`user_event_totals`, from the parts of all days.
+
+    A session, item or purchase that several days know is one fact.
+    """
+    one = F.lit(1).cast("long")
+    once = facts.select(USER, "kind", "fact").distinct()
+    ones = once.select(
+        USER, *[F.when(F.col("kind") == kind, one).alias(kind) for kind in _FACT_COUNTS.values()]
+    )
+    return _added_up(totals.drop("event_date").unionByName(ones, allowMissingColumns=True))
+
+
 def user_session_totals(sessions: DataFrame) -> DataFrame:
     """First and last visit, active days and acquisition channel per user."""
     return sessions.groupBy(USER).agg(
@@ -534,9 +626,19 @@ def user_features(
     The list of users is the set of groups of the event totals, so it needs no scan of
     its own. Every joined side has one row per user.
     """
+    totals = user_event_totals(stored, dedupe_events)
+    return user_features_of(totals, sessions, reference_date, churn_days)
+
+
+def user_features_of(
+    totals: DataFrame,
+    sessions: DataFrame,
+    reference_date: date = DEFAULT_REFERENCE_DATE,
+    churn_days: int = DEFAULT_GAP_DAYS,
+) -> DataFrame:
+    """User features from event totals per user, however they were added up."""
     joined = (
-        user_event_totals(stored, dedupe_events)
-        .join(user_session_totals(sessions), USER, "left")
+        totals.join(user_session_totals(sessions), USER, "left")
         .join(user_main_channel(sessions), USER, "left")
         .join(user_journey(sessions), USER, "left")
     )

@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from datetime import date
+from datetime import date, timedelta
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.functions.labels import (
@@ -22,8 +20,11 @@ from eventloom.functions.labels import (
     risk_tier,
     value_tier,
 )
+from eventloom.plans.features import model_features
 from eventloom.schemas import PREDICTION_TREND, PREDICTIONS, as_schema
+from eventloom.sources.guards import path_exists
 
+# Names and order of the features of both models.
 PURCHASE_FEATURES = (
     "total_events", "total_page_views", "add_to_cart_count", "purchase_count",
     "avg_engagement_time_msec", "ga_session_id_count", "unique_pages",
@@ -149,17 +150,35 @@ def train_churn(
     return fit_classifier(labelled, CHURN_FEATURES, "is_churned", max_iter)
 
 
-def load_or_train(path: str, train: Callable[[], PipelineModel]) -> PipelineModel:
-    """The model saved at ``path``; if none can be read there, ``train()`` and save it.
+def train_churn_on_history(
+    history: DataFrame, until: date, churn_days: int, max_iter: int = 100
+) -> PipelineModel:
+    """Churn model on stored events: features up to a cut-off, label from what follows.
+
+    The cut-off is ``churn_days`` before ``until``. A user has churned (1) who was active
+    by the cut-off and not between it and ``until``. Both periods are read by day.
+    """
+    cutoff = (until - timedelta(days=churn_days)).strftime("%Y%m%d")
+    day = F.col("event_date")
+    features = model_features(history.where(day <= cutoff))
+    back = history.where(day > cutoff).select("user_pseudo_id", F.lit(0).alias("gone")).distinct()
+    labelled = churn_matrix(features).join(back, "user_pseudo_id", "left")
+    labelled = labelled.withColumn("is_churned", F.coalesce("gone", F.lit(1)))
+    return fit_classifier(labelled, CHURN_FEATURES, "is_churned", max_iter)
 
-    A trained model is read back: the one in memory carries its training summary, which
+
+def load_or_train(
+    spark: SparkSession, path: str, train: Callable[[], PipelineModel]
+) -> PipelineModel:
+    """The model saved at ``path``; if there is none, ``train()`` and save it.
+
+    A model that is there but cannot be read is an error: it is never trained over. A
+    trained model is read back: the one in memory carries its training summary, which
     holds on to the session and cannot always be sent to the executors.
     """
-    try:
-        return PipelineModel.load(path)
-    except (Py4JJavaError, AnalysisException, ValueError, IndexError):
-        train().write().overwrite().save(path)
-        return PipelineModel.load(path)
+    if not path_exists(spark, path):
+        train().write().save(path)
+    return PipelineModel.load(path)
 
 
 def _probability(model: PipelineModel, matrix: DataFrame, name: str) -> DataFrame:

@@ -207,6 +207,30 @@ DEVICE_CHANNEL = _schema(
     """
 )
 
+# Additive parts per day; the two marts over the whole history are sums of them.
+DEVICE_CHANNEL_DAILY = _schema(
+    """
+    session_date date, session_device string, session_traffic_source string,
+    session_traffic_medium string, total_sessions bigint, purchase_sessions bigint,
+    bounce_sessions bigint, churn_sessions bigint, depth_sum bigint, views_sum bigint,
+    engagement_sum bigint, engagement_rows bigint
+    """
+)
+
+USER_DAY_TOTALS = _schema(
+    """
+    event_date string, user_pseudo_id string, total_page_views bigint,
+    view_item_count bigint, add_to_cart_count bigint, begin_checkout_count bigint,
+    add_shipping_info_count bigint, add_payment_info_count bigint,
+    purchase_count bigint, scroll_count bigint, user_engagement_count bigint,
+    total_active_time bigint, total_events bigint
+    """
+)
+
+USER_DAY_FACTS = _schema(
+    "event_date string, user_pseudo_id string, kind string, fact string"
+)
+
 USER_FEATURES = _schema(
     """
     user_pseudo_id string, is_purchaser int, is_repeat_purchaser int,

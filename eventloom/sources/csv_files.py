@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventloom.schemas import as_schema
-from eventloom.sources.guards import MissingInput, matching_paths, require_path
+from eventloom.sources.guards import MissingInput, path_exists, require_path
 from eventloom.sources.warehouse import TABLES, Warehouse, union_days
 
 
@@ -17,57 +18,51 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("emptyValue", '""').csv(path)
 
 
-def _reader(spark: SparkSession):
+def _reader(spark: SparkSession, multi_line: bool):
+    """A file is split among tasks unless its texts may hold line ends (``multi_line``)."""
     return (
         spark.read.option("header", True)
         .option("mode", "PERMISSIVE")
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("escape", "\\")
     )
 
 
-def scan_csv(
-    spark: SparkSession, path: str, schema: T.StructType, columns: Sequence[str] | None = None
-) -> DataFrame:
-    """Lazy scan with declared types; a field that does not fit its type is NULL.
+def _files_by_header(spark: SparkSession, pattern: str) -> dict[str, list[str]]:
+    """Paths of the files by header line, found by a Spark job.
 
-    Columns are taken by position, so the files must have the columns of ``schema`` in
-    that order. Only ``columns`` are parsed.
+    Each task keeps the first line it sees of a file, and of those the one at the file's
+    beginning counts. A path per file and a line per distinct header reach the driver.
     """
-    require_path(spark, path)
-    df = _reader(spark).schema(schema).csv(path)
-    return df if columns is None else df.select(*columns)
-
-
-def infer_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Scan with column types guessed from the data. Reads the data once to guess."""
-    require_path(spark, path)
-    return _reader(spark).option("inferSchema", True).csv(path)
-
-
-def _header(spark: SparkSession, path: str) -> str:
-    jvm = spark._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(hadoop_path), "UTF-8"))
-    try:
-        return lines.readLine() or ""
-    finally:
-        lines.close()
+    if not path_exists(spark, pattern):
+        return {}
+    lines = spark.read.text(pattern).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.struct("_metadata.file_block_start", F.monotonically_increasing_id().alias("n")).alias("at"),
+        "value",
+    )
+    first = lines.groupBy("path").agg(F.min_by("value", "at").alias("header"))
+    groups = first.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    return {r.header.rstrip("\r"): r.paths for r in groups.orderBy("header").collect()}
 
 
-def read_csv_shards(spark: SparkSession, pattern: str, schema: T.StructType) -> DataFrame:
+def read_csv_shards(
+    spark: SparkSession,
+    pattern: str,
+    schema: T.StructType,
+    columns: Sequence[str] | None = None,
+    multi_line: bool = False,
+) -> DataFrame:
     """All files matching ``pattern`` as one frame, columns matched by header name.
 
-    Files are grouped by their header line, so there is one scan per distinct column
-    order and not one per file. A column missing from some files is NULL there.
+    There is one scan per distinct header and not one per file. A column missing from some
+    files is NULL there, one that ``schema`` does not know is left out, and a field that
+    does not fit its type is NULL. Only ``columns`` are parsed.
     """
-    files = matching_paths(spark, pattern)
-    if not files:
+    by_header = _files_by_header(spark, pattern)
+    if not by_header:
         raise MissingInput(f"no CSV files match {pattern}")
-    by_header: dict[str, list[str]] = {}
-    for path in files:
-        by_header.setdefault(_header(spark, path), []).append(path)
+    wanted = list(columns or schema.fieldNames())
     frames = []
     for paths in by_header.values():
         names = spark.read.option("header", True).csv(paths[0]).columns
@@ -76,16 +71,39 @@ def read_csv_shards(spark: SparkSession, pattern: str, schema: T.StructType) ->
             [schema[n] if n in known else T.StructField(n, T.StringType()) for n in names]
         )
         frames.append(
-            _reader(spark).schema(order).csv(paths).select(*[n for n in names if n in known])
+            _reader(spark, multi_line)
+            .schema(order)
+            .csv(paths)
+            .select(*[n for n in names if n in wanted])
         )
-    empty = spark.createDataFrame([], schema)
-    return union_days(empty, *frames).select(*schema.fieldNames())
+    empty = spark.createDataFrame([], schema).select(*wanted)
+    return union_days(empty, *frames).select(*wanted)
+
+
+def scan_csv(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    columns: Sequence[str] | None = None,
+    multi_line: bool = False,
+) -> DataFrame:
+    """Lazy scan of one file or folder with declared types, columns found by their names."""
+    return read_csv_shards(spark, path, schema, columns, multi_line)
+
+
+def infer_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Scan with column types guessed from the data. Reads the data once to guess."""
+    require_path(spark, path)
+    return _reader(spark, multi_line).option("inferSchema", True).csv(path)
 
 
 def load_csv(
-    warehouse: Warehouse, path: str, table: str, infer: bool = False
+    warehouse: Warehouse, path: str, table: str, infer: bool = False, multi_line: bool = False
 ) -> None:
-    """Append CSV files with a header to a table of the warehouse."""
+    """Append CSV files with a header to a table of the warehouse, by column name."""
     schema = TABLES[table].schema
-    df = infer_csv(warehouse.spark, path) if infer else scan_csv(warehouse.spark, path, schema)
+    if infer:
+        df = infer_csv(warehouse.spark, path, multi_line)
+    else:
+        df = scan_csv(warehouse.spark, path, schema, multi_line=multi_line)
     warehouse.append(table, as_schema(df, schema))

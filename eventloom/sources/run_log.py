@@ -45,12 +45,12 @@ def _text_map(values: dict[str, Column]) -> Column:
     return F.create_map(*[x for k, v in values.items() for x in (F.lit(k), v)])
 
 
-def runs(trend: DataFrame, params: dict[str, str]) -> DataFrame:
+def runs(trend: DataFrame, params: dict[str, str], source: str = "eventloom") -> DataFrame:
     """One row per run with its parameters and tags."""
     tags = {
         "prediction_date": F.col("prediction_date").cast("string"),
         "run_type": F.lit("inference"),
-        "source": F.lit("daily_ml_pipeline"),
+        "source": F.lit(source),
     }
     return as_schema(
         trend.select(
@@ -63,7 +63,9 @@ def runs(trend: DataFrame, params: dict[str, str]) -> DataFrame:
     )
 
 
-def log_run(warehouse: Warehouse, trend: DataFrame, params: dict[str, str]) -> None:
-    """Append the metrics and the run of a trend row."""
+def log_run(
+    warehouse: Warehouse, trend: DataFrame, params: dict[str, str], source: str = "eventloom"
+) -> None:
+    """Append the metrics and the run of a trend row; ``source`` names what ran."""
     warehouse.append("run_metrics", run_metrics(trend))
-    warehouse.append("runs", runs(trend, params))
+    warehouse.append("runs", runs(trend, params, source))

@@ -33,7 +33,10 @@ TABLES: dict[str, TableSpec] = {
     "order_items": TableSpec(schemas.ORDER_ITEMS, "event_date"),
     "session_funnel": TableSpec(schemas.SESSION_FUNNEL, "session_date", ("user_pseudo_id",)),
     "funnel_daily": TableSpec(schemas.FUNNEL_DAILY, "event_date"),
+    "device_channel_daily": TableSpec(schemas.DEVICE_CHANNEL_DAILY, "session_date"),
     "device_channel": TableSpec(schemas.DEVICE_CHANNEL, None),
+    "user_day_totals": TableSpec(schemas.USER_DAY_TOTALS, "event_date"),
+    "user_day_facts": TableSpec(schemas.USER_DAY_FACTS, "event_date"),
     "user_features": TableSpec(schemas.USER_FEATURES, None),
     "predictions": TableSpec(schemas.PREDICTIONS, "prediction_date"),
     "prediction_trend": TableSpec(schemas.PREDICTION_TREND, "prediction_date"),
@@ -86,14 +89,22 @@ class Warehouse:
     def replace_days(self, name: str, df: DataFrame, days: Sequence[Day]) -> None:
         """Make ``days`` hold exactly the rows of ``df``; other days stay untouched.
 
-        Rows of other days are an error of the caller and are left out. A day for which
-        ``df`` has no row ends up empty, also if it held rows before.
+        A row of any other day, or of none, stops the write with that day named. A day for
+        which ``df`` has no row ends up empty, also if it held rows before.
         """
         spec = TABLES[name]
         if spec.partition is None:
             raise ValueError(f"{name} is not partitioned by day")
         before = {day: self._files(name, day) for day in days}
-        chosen = df.where(F.col(spec.partition).isin(*days))
+        day = F.col(spec.partition)
+        foreign = F.concat(
+            F.lit(f"{name}: a row of day "), F.coalesce(day.cast("string"), F.lit("NULL")),
+            F.lit(" is not among the days to replace"),
+        )
+        checked = F.when(day.isin(*days), day).otherwise(
+            F.raise_error(foreign).cast(spec.schema[spec.partition].dataType)
+        )
+        chosen = df.withColumn(spec.partition, checked)
         self._writer(name, chosen).mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).parquet(self.path(name))
@@ -118,10 +129,19 @@ class Warehouse:
             "partitionOverwriteMode", "static"
         ).parquet(self.path(name))
 
-    def accumulate(self, source: str, target: str, days: Sequence[Day]) -> None:
-        """Append the given days of one table to another of the same schema, by name."""
-        rows = self.read(source, days)
-        self.append(target, as_schema(rows, TABLES[target].schema))
+    def accumulate(
+        self, source: str, target: str, days: Sequence[Day], replace: bool = False
+    ) -> None:
+        """Add the given days of one table to another of the same schema, by name.
+
+        They are appended, or with ``replace`` put in place of those days' rows, so that a
+        second run leaves one copy.
+        """
+        rows = as_schema(self.read(source, days), TABLES[target].schema)
+        if replace:
+            self.replace_days(target, rows, days)
+        else:
+            self.append(target, rows)
 
     def sql(self, query: str, tables: Sequence[str] = (), **args: object) -> DataFrame:
         """Run SQL over named tables. Values are bound as ``:name``, never pasted in.

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.inputs import nested_table
+from eventloom.plans import marts
 from eventloom.plans.daily import ingest_days, refresh_marts, score_day
 from eventloom.sources.warehouse import Warehouse
 from eventloom.streaming.incremental import ingest_new_files
@@ -40,12 +41,54 @@ def test_daily_run_twice_is_the_same(spark, sf_dir, warehouse, tmp_path):
             first = seen
     assert seen == first
     assert warehouse.read("daily_summary").count() == len(DAYS)
+
+
+def test_newest_day_is_scored(spark, sf_dir, warehouse, tmp_path):
+    """The normal run: models are trained on the stored history, the last day is scored."""
+    nested = nested_table(spark, sf_dir)
+    days = sorted(r[0] for r in nested.select("event_date").distinct().collect())
+    ingest_days(warehouse, nested, days)
+    refresh_marts(warehouse, days[-1:])
+    users = nested.where(F.col("event_date") == days[-1]).select("user_pseudo_id").distinct()
     for _ in range(2):
-        features_day = DAYS[0]
-        churned = warehouse.read("user_features").agg(F.sum("is_churned")).first()[0]
-        with pytest.raises(ValueError, match="is_churned"):
-            score_day(warehouse, features_day, str(tmp_path / "models"))
-        assert churned in (0, warehouse.read("user_features").count())
+        score_day(warehouse, days[-1], str(tmp_path / "models"))
+        assert warehouse.read("predictions").count() == users.count() > 0
+        trend = warehouse.read("prediction_trend").collect()
+        assert [t.total_users for t in trend] == [users.count()]
+    assert warehouse.read("predictions").where("churn_probability NOT BETWEEN 0 AND 1").isEmpty()
+
+
+def test_refresh_reads_only_the_new_days_of_events(spark, sf_dir, warehouse, monkeypatch):
+    nested = nested_table(spark, sf_dir)
+    ingest_days(warehouse, nested, DAYS)
+    read = Warehouse.read
+    asked = []
+
+    def noted(self, name, days=None):
+        asked.append((name, days))
+        return read(self, name, days)
+
+    monkeypatch.setattr(Warehouse, "read", noted)
+    refresh_marts(warehouse, DAYS[1:])
+    assert [days for name, days in asked if name == "raw_events"] == [DAYS[1:]]
+
+
+def test_history_churn_is_stored(spark, sf_dir, warehouse):
+    nested = nested_table(spark, sf_dir)
+    days = sorted(r[0] for r in nested.select("event_date").distinct().collect())
+    early = [d for d in days if d <= "20201205"]
+    late = days[len(early) :]
+    # The later days first: then the earlier ones fall into gaps that are already flagged.
+    for part in (late, early):
+        ingest_days(warehouse, nested, part)
+        refresh_marts(warehouse, part, churn="history")
+    keys = ["user_pseudo_id", "session_date", "ga_session_id", "churn_session_flag"]
+    stored = warehouse.read("session_funnel").select(*keys)
+    whole = marts.session_funnel(warehouse.read("raw_events"), churn="history").select(*keys)
+    assert stored.exceptAll(whole).isEmpty() and stored.count() == whole.count()
+    assert stored.agg(F.sum("churn_session_flag")).first()[0] > 0
+    channels = marts.device_channel(warehouse.read("session_funnel"))
+    assert channels.exceptAll(warehouse.read("device_channel")).isEmpty()
 
 
 def test_scoring_a_day_without_users(spark, sf_dir, warehouse, tmp_path):
@@ -59,10 +102,12 @@ def test_scoring_a_day_without_users(spark, sf_dir, warehouse, tmp_path):
 def test_append_mode_duplicates_and_accumulates(spark, sf_dir, warehouse):
     nested = nested_table(spark, sf_dir)
     for _ in range(2):
-        ingest_days(warehouse, nested, DAYS[:1], accumulate=True)
+        ingest_days(warehouse, nested, DAYS[:1], accumulate="append")
         refresh_marts(warehouse, DAYS[:1], mode="append", stored="stored_events")
     assert warehouse.read("stored_events").count() == 2 * warehouse.read("raw_events").count()
     assert warehouse.read("daily_summary").count() == 2
+    ingest_days(warehouse, nested, DAYS[:1], accumulate="replace_days")
+    assert warehouse.read("stored_events").count() == warehouse.read("raw_events").count()
 
 
 def test_late_file_gives_the_result_of_one_run(spark, sf_dir, tmp_path):
@@ -73,9 +118,31 @@ def test_late_file_gives_the_result_of_one_run(spark, sf_dir, tmp_path):
     stream = Warehouse(spark, str(tmp_path / "stream"))
     for part in (early, ~early):
         nested.where(part).write.mode("append").partitionBy("event_date").parquet(landing)
-        ingest_new_files(stream, landing, checkpoint, refresh=part is not early)
+        ingest_new_files(
+            stream, landing, checkpoint, refresh=None if part is early else refresh_marts
+        )
     ingest_new_files(stream, landing, checkpoint)
     once = Warehouse(spark, str(tmp_path / "once"))
     ingest_days(once, nested, DAYS)
     refresh_marts(once, DAYS)
     assert snapshot(stream, "raw_events", *MARTS) == snapshot(once, "raw_events", *MARTS)
+
+
+def test_marts_are_refreshed_once_for_all_batches(spark, sf_dir, tmp_path):
+    nested = nested_table(spark, sf_dir).where(F.col("event_date").isin(*DAYS))
+    landing, checkpoint = str(tmp_path / "landing"), str(tmp_path / "checkpoint")
+    nested.repartition(3).write.partitionBy("event_date").parquet(landing)
+    stream = Warehouse(spark, str(tmp_path / "stream"))
+    calls = []
+    note = lambda warehouse, days: calls.append(days)
+    ingest_new_files(stream, landing, checkpoint, refresh=note, max_files_per_batch=1)
+    assert calls == [DAYS]
+    ingest_new_files(stream, landing, checkpoint, refresh=note)
+    assert calls == [DAYS]
+
+
+def test_landing_folder_must_be_partitioned(spark, sf_dir, tmp_path):
+    landing = str(tmp_path / "landing")
+    nested_table(spark, sf_dir).limit(5).write.parquet(landing)
+    with pytest.raises(ValueError, match="not partitioned"):
+        ingest_new_files(Warehouse(spark, str(tmp_path / "w")), landing, str(tmp_path / "c"))

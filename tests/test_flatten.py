@@ -87,12 +87,17 @@ EQUAL_EVENTS = (
 )
 
 
-@pytest.mark.parametrize("max_fingerprints", [0, 1, 2, 100])
-def test_adaptive_merge_equals_regroup(nested, max_fingerprints):
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_adaptive_merge_equals_regroup(spark, nested, threshold):
     df = nested(*EQUAL_EVENTS)
     regrouped = flatten_events(df)
-    adaptive = flatten_events(df, "adaptive", max_fingerprints)
-    assert sorted(map(str, adaptive.collect())) == sorted(map(str, regrouped.collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        adaptive = flatten_events(df, "adaptive")
+        got = sorted(map(str, adaptive.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == sorted(map(str, regrouped.collect()))
     rows = {
         (r.user_pseudo_id, r.item_name): (r.param_page_location, r.param_entrances, r.param_term)
         for r in regrouped.collect()

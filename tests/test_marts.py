@@ -239,3 +239,19 @@ def test_relations_between_marts(spark, sf_dir):
     assert model_features(flat).count() == users
     first = ordering.latest_per_group(t3, "user_pseudo_id", ["session_date"], 1)
     assert first.count() == users
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_plans_of_sessions_and_days(spark, sf_dir):
+
+    table = flat_table(spark, sf_dir)
+    summary = plan_of(marts.daily_summary(table))
+    assert "Expand" not in summary
+    assert summary.count("FileScan") == 2
+    sessions = plan_of(marts.session_funnel(table)).splitlines()
+    scan = next(i for i, line in enumerate(sessions) if "FileScan" in line)
+    nearest = next(line for line in reversed(sessions[:scan]) if "Aggregate" in line)
+    assert "HashAggregate" in nearest

@@ -69,8 +69,8 @@ def test_scoring_end_to_end(spark, features, tmp_path):
         calls.append(1)
         return scoring.train_purchase(features)
 
-    first = scoring.load_or_train(path, train)
-    again = scoring.load_or_train(path, train)
+    first = scoring.load_or_train(spark, path, train)
+    again = scoring.load_or_train(spark, path, train)
     assert len(calls) == 1
     assert first.stages[-1].coefficients == again.stages[-1].coefficients
     churn = scoring.train_churn(features, users)
@@ -85,6 +85,33 @@ def test_scoring_end_to_end(spark, features, tmp_path):
     assert scoring.score(features, again, with_channels, users).count() == t8.total_users
 
 
+def test_a_model_that_cannot_be_read_is_not_trained_over(spark, tmp_path):
+    folder = tmp_path / "model"
+    folder.mkdir()
+    (folder / "broken").write_text("x")
+    with pytest.raises(Exception, match="metadata|Path|path|exist"):
+        scoring.load_or_train(spark, str(folder), lambda: pytest.fail("trained"))
+    assert (folder / "broken").read_text() == "x"
+
+
+def test_churn_on_history_looks_past_the_cutoff(spark):
+    flat = flat_table(spark, "/root/testdata/sf0.01")
+    model = scoring.train_churn_on_history(flat, DAY, 15)
+    assert model.stages[-1].coefficients.size == len(scoring.CHURN_FEATURES)
+    with pytest.raises(ValueError, match="both classes"):
+        scoring.train_churn_on_history(flat.where("event_date <= '20201201'"), DAY, 1)
+
+
+def test_features_per_user_and_day(spark):
+    flat = flat_table(spark, "/root/testdata/sf0.01")
+    per_day = model_features(flat, by=("user_pseudo_id", "event_date"))
+    assert per_day.columns == schemas.MODEL_FEATURES.fieldNames()
+    days = flat.select("user_pseudo_id", "event_date").distinct().count()
+    assert per_day.count() == days
+    total = model_features(flat).agg(F.sum("total_events")).first()
+    assert per_day.agg(F.sum("total_events")).first() == total
+
+
 def decided_from(spark, *pairs):
     rows = [(f"u{i}", p, c, 2, 1) for i, (p, c) in enumerate(pairs)]
     df = spark.createDataFrame(

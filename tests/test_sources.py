@@ -49,11 +49,14 @@ def test_replace_days(spark, warehouse):
     assert stored(warehouse, days=["20201201"]) == []
 
 
-def test_replace_days_ignores_other_days(spark, warehouse):
+def test_replace_days_refuses_other_days(spark, warehouse):
     warehouse.replace_days("orders", orders(spark, ("a", "20201201", 1.0)), ["20201201"])
     mixed = orders(spark, ("x", "20201201", 9.0), ("b", "20201202", 2.0))
-    warehouse.replace_days("orders", mixed, ["20201202"])
-    assert stored(warehouse) == [("20201201", "a", 1.0), ("20201202", "b", 2.0)]
+    with pytest.raises(Exception, match="row of day 20201201 is not among"):
+        warehouse.replace_days("orders", mixed, ["20201202"])
+    with pytest.raises(Exception, match="row of day NULL"):
+        warehouse.replace_days("orders", orders(spark, ("b", None, 2.0)), ["20201202"])
+    assert stored(warehouse) == [("20201201", "a", 1.0)]
 
 
 def test_wrong_schema_is_refused(spark, warehouse):
@@ -106,7 +109,9 @@ def test_csv_keeps_quotes_and_line_breaks(spark, tmp_path):
     text = 'he said "a, b"\nand \\ left'
     df = predictions(spark).withColumn("value_segment", F.lit(text))
     csv_files.write_csv(df, str(tmp_path / "out"))
-    back = csv_files.read_csv_shards(spark, f"{tmp_path}/out/*.csv", PREDICTIONS)
+    back = csv_files.read_csv_shards(
+        spark, f"{tmp_path}/out/*.csv", PREDICTIONS, multi_line=True
+    )
     assert {r.value_segment for r in back.collect()} == {text}
 
 
@@ -128,6 +133,29 @@ def test_scan_csv_reads_chosen_columns(spark, tmp_path):
     assert "ReadSchema: struct<user_pseudo_id:string>" in plan
 
 
+def test_columns_in_another_order_keep_their_names(spark, tmp_path):
+    rows = predictions(spark)
+    csv_files.write_csv(rows.select(*sorted(rows.columns)), str(tmp_path / "out"))
+    back = csv_files.scan_csv(spark, str(tmp_path / "out"), PREDICTIONS)
+    assert back.exceptAll(rows).isEmpty() and back.count() == 2
+
+
+def test_one_file_is_split_among_tasks(spark, tmp_path):
+    path = str(tmp_path / "out")
+    spark.range(60_000).selectExpr(
+        "cast(id as string) AS user_pseudo_id", "0.5 AS purchase_probability"
+    ).coalesce(1).write.option("header", True).csv(path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128k")
+    try:
+        whole = csv_files.scan_csv(spark, path, PREDICTIONS, multi_line=True)
+        split = csv_files.scan_csv(spark, path, PREDICTIONS)
+        assert whole.rdd.getNumPartitions() < split.rdd.getNumPartitions()
+        assert split.count() == whole.count() == 60_000
+        assert split.where("user_pseudo_id = '59999'").first().purchase_probability == 0.5
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_guards(spark, tmp_path):
     with pytest.raises(MissingInput):
         require_path(spark, str(tmp_path / "none"))

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from checks.inputs import flat_table, nested_table, session_table
 from checks.queries import queries
 from eventloom.session import local_session
+from eventloom.sources.scratch import clear_scratch
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -31,6 +32,7 @@ HEADLINE = (
     "t4_funnel_daily",
     "t5_device_channel",
     "t6_user_features",
+    "t6_user_features_from_partials",
     "ml_user_features",
     "prediction_trend",
 )
@@ -77,6 +79,7 @@ def main() -> None:
             }
         )
     )
+    clear_scratch(spark)
     spark.stop()
 
 

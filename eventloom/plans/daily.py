@@ -24,7 +24,7 @@ from eventloom.plans.scoring import (
 )
 from eventloom.schemas import SESSION_FUNNEL, as_schema
 from eventloom.sources.run_log import log_run
-from eventloom.sources.scratch import new_dir
+from eventloom.sources.scratch import delete_dir, new_dir
 from eventloom.sources.warehouse import Warehouse
 
 WriteMode = Literal["replace_days", "append"]
@@ -81,7 +81,8 @@ def _revise_churn(warehouse: Warehouse, days: Sequence[date], gap_days: int) ->
         active, "user_pseudo_id", "left_semi"
     )
     flagged = with_gap_flag(theirs, gap_days, "after").where("before <> after")
-    revised = warehouse.spark.read.parquet(_copied(warehouse, flagged.drop("before"), "revised"))
+    changes = _copied(warehouse, flagged.drop("before"), "revised")
+    revised = warehouse.spark.read.parquet(changes)
     touched = [r[0] for r in revised.select("session_date").distinct().collect()]
     if touched:
         rows = stored.where(F.col("session_date").isin(*touched)).join(revised, keys, "left")
@@ -91,6 +92,8 @@ def _revise_churn(warehouse: Warehouse, days: Sequence[date], gap_days: int) ->
         copy = _copied(warehouse, as_schema(rows, SESSION_FUNNEL), "sessions")
         fresh = warehouse.spark.read.schema(SESSION_FUNNEL).parquet(copy)
         warehouse.replace_days("session_funnel", fresh, touched)
+        delete_dir(warehouse.spark, copy)
+    delete_dir(warehouse.spark, changes)
     return touched
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 
 SETTING = "spark.checkpoint.dir"
 _local: dict[str, str] = {}
+_made: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -26,4 +27,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder; nothing is created yet."""
-    return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def delete_dir(spark: SparkSession, path: str) -> None:
+    """Delete one of the folders above, once nothing reads it any more."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    fs.delete(hadoop_path, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all folders this application made; call it when its results are stored."""
+    for path in _made.pop(spark.sparkContext.applicationId, []):
+        delete_dir(spark, path)

@@ -9,6 +9,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from eventloom.schemas import NESTED_EVENT  # noqa: E402
 from eventloom.session import local_session  # noqa: E402
+from eventloom.sources.scratch import clear_scratch  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -17,6 +18,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def spark():
     session = local_session(8, memory="6g")
     yield session
+    clear_scratch(session)
     session.stop()
 
 

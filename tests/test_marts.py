@@ -246,7 +246,6 @@ def plan_of(df) -> str:
 
 
 def test_plans_of_sessions_and_days(spark, sf_dir):
-
     table = flat_table(spark, sf_dir)
     summary = plan_of(marts.daily_summary(table))
     assert "Expand" not in summary

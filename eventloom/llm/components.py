@@ -21,7 +21,8 @@ def _large_star(links: DataFrame) -> DataFrame:
     """Larger neighbours of a node are linked to its least neighbour instead."""
     both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     moved = both.join(_least_neighbour(both), "u").where("v > u")
-    return moved.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    # Repeated links stay: the small star takes minima over them, then drops repeats.
+    return moved.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
 
 
 def _small_star(links: DataFrame) -> DataFrame:
@@ -42,7 +43,7 @@ def components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
     """
     a, b = links.columns[:2]
     links = written(
-        links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v").distinct(),
+        links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v"),
         "links",
     )
     before = None

@@ -151,7 +151,8 @@ def earlier(check: type, order: type):
 
     def answer(rows: pa.Table) -> pa.Table:
         if rows.column("bucket")[0].as_py() < 0:
-            return pa.table([rows["block"], rows["bucket"], rows["keys"]], ["block", "bucket", "bits"])
+            notes = rows.select(["block", "bucket", "keys"])
+            return notes.rename_columns(["block", "bucket", "bits"])
         counts, _, by_key, same, orders = together(rows, check, order)
         blocks = np.repeat(rows.column("block").to_numpy(), counts)
         return answer_rows(rows, counts, _behind_first(by_key, same, orders, blocks))

@@ -56,6 +56,11 @@ def _lowered(data: np.ndarray) -> np.ndarray:
     return np.where(capital, data + 32, data).astype(np.uint8)
 
 
+def _sequence_hash(words: np.ndarray) -> U64:
+    weights = np.arange(3, 2 * len(words) + 3, 2, U64)
+    return mix((words * weights).sum(keepdims=True))[0]
+
+
 def shingles(rows: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash, document) of the distinct word n-grams, by document, then hash.
 
@@ -73,10 +78,9 @@ def shingles(rows: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray]:
     inside = docs[width - 1 :] == docs[: len(grams)] if n > 0 else np.zeros(0, bool)
     first = np.cumsum(counts) - counts
     short = [
-        (mix((words[first[d] : first[d] + c] * np.arange(3, 2 * c + 3, 2, U64)).sum(keepdims=True))[0], d)
+        (_sequence_hash(words[first[d] : first[d] + counts[d]]), d)
         for d in np.flatnonzero((counts > 0) & (counts < width)).tolist()
-        for c in [int(counts[d])]
-    ]
+    ]
     keys = np.concatenate((grams[inside], np.array([h for h, _ in short], U64)))
     owners = np.concatenate(
         (docs[: len(grams)][inside], np.array([d for _, d in short], np.int64))
@@ -304,11 +308,12 @@ def _candidates(percent: int, skip: bool):
         distinct, at, number = np.unique(sets, return_index=True, return_inverse=True)
         blobs = rows.column("signature").take(pa.array(order[at])).to_pylist()
         signatures, relations = _Signatures(blobs), _Relations()
+        known = rows.column("failed").take(pa.array(order[at])).to_pylist()
         failed = {
-            (int(a), b)
-            for a, others in zip(distinct, rows.column("failed").take(pa.array(order[at])).to_pylist(), strict=True)
+            (a, b)
+            for a, others in zip(distinct.tolist(), known, strict=True)
             for b in others or ()
-        }
+        }
         found: list[np.ndarray] = []
 
         def read(x: np.ndarray, y: np.ndarray) -> None:
@@ -321,10 +326,8 @@ def _candidates(percent: int, skip: bool):
             ok = signatures.cells_apart(number[x], number[y]) <= most
             x, y = x[ok], y[ok]
             if failed:
-                ok = np.array(
-                    [(a, b) not in failed for a, b in zip(sets[x].tolist(), sets[y].tolist(), strict=True)],
-                    bool,
-                )
+                both = zip(sets[x].tolist(), sets[y].tolist(), strict=True)
+                ok = np.array([pair not in failed for pair in both], bool)
                 x, y = x[ok], y[ok]
             if not skip:
                 both = np.stack((sets[x], sets[y]), axis=1)
@@ -401,7 +404,7 @@ def set_classes(
     width: int = 3,
     percent: int = 90,
     list_part: int = 20_000,
-    turns: int = 4,
+    turns: int = 2,
     block_bytes: int = 4 << 20,
     bucket_bytes: int = 16 << 20,
 ) -> DataFrame:
@@ -438,11 +441,15 @@ def set_classes(
     entries = reps.select(
         F.col("doc_id").alias("set"), F.col("n_shingles").alias("n"),
         F.explode(F.arrays_zip("tokens", "places")).alias("e"),
-    ).select("set", "n", F.col("e.tokens").alias("token"), F.col("e.places").cast("long").alias("place"))
+    ).select(
+        "set", "n", F.col("e.tokens").alias("token"),
+        F.col("e.places").cast("long").alias("place"),
+    )
     sizes = entries.groupBy("token").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
     listed = written(
         entries.join(sizes, "token").select(
-            "token", "set", "n", "place", F.ceil(F.col("many") / list_part).cast("int").alias("parts")
+            "token", "set", "n", "place",
+            F.ceil(F.col("many") / list_part).cast("int").alias("parts"),
         ),
         "jaccard-lists",
     )
@@ -491,9 +498,11 @@ def set_classes(
             .distinct()
         )
         compared = written(
-            _compared(written(pairs, "jaccard-pairs"), sets, percent).distinct(), "jaccard-compared"
+            _compared(written(pairs, "jaccard-pairs"), sets, percent).distinct(),
+            "jaccard-compared",
         )
-        good, bad = compared.where("ok").select("a", "b"), compared.where("not ok").select("a", "b")
+        good = compared.where("ok").select("a", "b")
+        bad = compared.where("not ok").select("a", "b")
         links = good if links is None else links.union(good)
         failed = bad if failed is None else failed.union(bad)
         classes = components(links)

@@ -11,8 +11,9 @@ def substring_dedup(width: int = 35) -> str:
     """Windows as lists of words, counted; a word goes if a window over it counts twice."""
     return f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
-h AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - {width - 2}),
-                                           lambda i: sha256(array_to_string(w[i:i + {width - 1}], ' ')))) AS k,
+h AS (SELECT doc_id,
+             unnest(list_transform(range(1, len(w) - {width - 2}),
+               lambda i: sha256(array_to_string(w[i:i + {width - 1}], ' ')))) AS k,
              unnest(range(1, len(w) - {width - 2})) AS i
       FROM d WHERE len(w) >= {width}),
 r AS (SELECT doc_id, list(i ORDER BY i) AS starts

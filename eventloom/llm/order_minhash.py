@@ -85,7 +85,10 @@ def with_signature(df: DataFrame, text: str, into: str, k: int = 2) -> DataFrame
     count = F.greatest(F.size("__tokens") - (k - 1), F.lit(0))
     shifted = [F.slice("__tokens", F.lit(j + 1), count) for j in range(k)]
     kmers = (
-        F.when(F.size("__tokens") >= k, F.transform(F.arrays_zip(*shifted), lambda z: _high(F.xxhash64(z))))
+        F.when(
+            F.size("__tokens") >= k,
+            F.transform(F.arrays_zip(*shifted), lambda z: _high(F.xxhash64(z))),
+        )
         .when(F.col(text) != "", F.array(_high(F.xxhash64(text))))
         .otherwise(F.array().cast("array<bigint>"))
     )
@@ -105,7 +108,9 @@ def with_signature(df: DataFrame, text: str, into: str, k: int = 2) -> DataFrame
         ).otherwise(F.xxhash64(_high(y), _high(x)))
         value = F.when(_bin(x) == _bin(y), pair).otherwise(F.xxhash64(_high(x)))
         value = F.coalesce(value, F.xxhash64(_high(x)))
-        return F.shiftleft(_bin(x), 64 - _BIN_BITS).bitwiseOR(F.shiftrightunsigned(value, _BIN_BITS))
+        return F.shiftleft(_bin(x), 64 - _BIN_BITS).bitwiseOR(
+            F.shiftrightunsigned(value, _BIN_BITS)
+        )
 
     def tuples(picked: Column) -> Column:
         return F.array_compact(
@@ -210,7 +215,10 @@ def compare_with_next(
     )
     heads = (
         texts.join(before, mine("id", "own_id") & (F.col("hash") == F.col("own_hash")))
-        .select("to_id", "to_hash", F.substring(F.col("text"), F.lit(1), F.col("need")).alias("head"))
+        .select(
+            "to_id", "to_hash",
+            F.substring(F.col("text"), F.lit(1), F.col("need")).alias("head"),
+        )
         .dropDuplicates(["to_id", "to_hash"])
     )
     both = texts.join(heads, mine("id", "to_id") & (F.col("hash") == F.col("to_hash")))

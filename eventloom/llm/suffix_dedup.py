@@ -114,7 +114,10 @@ class _Runs:
             refined.append(
                 mix(_refine(_full_depth(b, first, length), ends) + (last - first).astype(U64))
             )
-        join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
+
+        def join(parts: list[np.ndarray], kind: type) -> np.ndarray:
+            return np.concatenate(parts) if parts else np.zeros(0, kind)
+
         self.first, self.last = join(firsts, np.int64), join(lasts, np.int64)
         self.bucket, self.refined = join(places, U64), join(refined, U64)
 

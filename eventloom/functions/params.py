@@ -75,22 +75,28 @@ def _one_per_key(params: str) -> str:
         f"transform(array_distinct({params}.key), "
         f"k -> named_struct('key', k, 'value', named_struct({fields})))"
     )
-    repeats = f"size(array_distinct({params}.key)) < size({params}.key)"
-    return f"CASE WHEN {repeats} THEN {merged} ELSE {params} END"
+    return f"CASE WHEN {_repeats(params)} THEN {merged} ELSE {params} END"
 
 
-def param_sql(spec: ParamSpec, params: str, one_per_key: str) -> str:
+def _repeats(params: str) -> str:
+    return f"size(array_distinct({params}.key)) < size({params}.key)"
+
+
+def param_sql(spec: ParamSpec, params: str, one_per_key: str, repeats: str) -> str:
     """SQL of one parameter column.
 
-    A single field is found by position in the array with unique keys, which compiles
-    with the rest of the stage. A mixed slot takes the maximum of the mixed values, so it
-    looks at every occurrence of its key.
+    A value is found by position in the array with unique keys, which compiles with the
+    rest of the stage. A mixed slot takes the maximum of the mixed values, so an event that
+    repeats keys looks at every occurrence of it.
     """
+    at = f"array_position({one_per_key}.key, '{spec.key}') - 1"
+    found = f"get({one_per_key}, CAST({at} AS INT)).value"
     if spec.slot in _FIELDS:
-        at = f"array_position({one_per_key}.key, '{spec.key}') - 1"
-        return f"get({one_per_key}, CAST({at} AS INT)).value.{_FIELDS[spec.slot]}"
+        return f"{found}.{_FIELDS[spec.slot]}"
+    mixture = _MIXTURES[spec.slot]
     same_key = f"transform(filter({params}, p -> p.key = '{spec.key}'), p -> p.value)"
-    return f"array_max(transform({same_key}, v -> {_MIXTURES[spec.slot]}))"
+    largest = f"array_max(transform({same_key}, v -> {mixture}))"
+    return f"CASE WHEN {repeats} THEN {largest} ELSE {mixture.replace('v.', found + '.')} END"
 
 
 def pivot_params(
@@ -99,9 +105,9 @@ def pivot_params(
     specs: Sequence[ParamSpec] = PARAM_SPECS,
 ) -> DataFrame:
     """Replace the parameter array by one column per spec."""
-    unique = "one_per_key"
+    unique, repeats = "one_per_key", "repeats_a_key"
     rest = [f"`{c}`" for c in events.columns if c != params]
-    pivoted = [f"{param_sql(s, params, unique)} AS {s.column}" for s in specs]
-    return events.withColumn(unique, F.expr(_one_per_key(params))).selectExpr(
-        *rest, *pivoted
-    )
+    pivoted = [f"{param_sql(s, params, unique, repeats)} AS {s.column}" for s in specs]
+    return events.withColumns(
+        {unique: F.expr(_one_per_key(params)), repeats: F.expr(_repeats(params))}
+    ).selectExpr(*rest, *pivoted)

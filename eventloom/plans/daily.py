@@ -181,7 +181,9 @@ def score_day(
             purchase = load_or_train(
                 warehouse.spark,
                 f"{model_root}/purchase",
-                lambda: train_purchase(model_features(history, by=("user_pseudo_id", "event_date"))),
+                lambda: train_purchase(
+                    model_features(history, by=("user_pseudo_id", "event_date"))
+                ),
             )
             churn = load_or_train(
                 warehouse.spark,

@@ -38,7 +38,9 @@ def _files_by_header(spark: SparkSession, pattern: str) -> dict[str, list[str]]:
         return {}
     lines = spark.read.text(pattern).select(
         F.col("_metadata.file_path").alias("path"),
-        F.struct("_metadata.file_block_start", F.monotonically_increasing_id().alias("n")).alias("at"),
+        F.struct(
+            "_metadata.file_block_start", F.monotonically_increasing_id().alias("n")
+        ).alias("at"),
         "value",
     )
     first = lines.groupBy("path").agg(F.min_by("value", "at").alias("header"))

@@ -245,24 +245,21 @@ def _blocks_of(n: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
 
 
 def _skipping(n, place, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of one long list, by blocks of equal position; blocks that cannot reach go.
+    """Pairs of one long list, by blocks of equal position; an entry skips the blocks that
+    hold no size with which it can reach.
 
     Within a pair of blocks sizes are sorted, so each entry meets a range of sizes.
     """
     blocks = _blocks_of(n, place)
-    for p, first in enumerate(blocks):
-        i = place[first[0]]
+    for p, block in enumerate(blocks):
+        i = place[block[0]]
         for second in blocks[p:]:
             j = place[second[0]]
-            low, high = n[first].min(), n[first].max()
             low2, high2 = n[second].min(), n[second].max()
-            if _size_floor(low, percent) > high2 or _size_floor(low2, percent) > high:
-                continue
-            # Larger sets bound each other best at the largest sizes of both.
-            if not _may_reach(high, high2, i, j, percent) and not _may_reach(
-                low, low2, i, j, percent
-            ):
-                continue
+            # Of all sizes m, one where m - j is nearest to n - i has the best bound: a step
+            # towards it adds one common element, and at most one to what is needed.
+            best = np.clip(n[block] - i + j, low2, high2)
+            first = block[_may_reach(n[block], best, i, j, percent)]
             sizes = n[second]
             begin = np.searchsorted(sizes, _size_floor(n[first], percent))
             end = np.searchsorted(sizes, n[first] * 100 // percent, side="right")

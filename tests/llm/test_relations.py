@@ -5,9 +5,12 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
 from eventloom.llm.components import components
 from eventloom.llm.jaccard_join import (
+    _candidates,
     _may_reach,
     _Relations,
     _Signatures,
@@ -70,6 +73,43 @@ def test_position_bound_keeps_every_similar_pair():
                         assert 100 * (need - 1) < percent * (n + m - need + 1)
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_long_lists_lose_no_similar_pair(percent):
+    """Over 64 sets in one list; blocks of one place hold sizes far apart.
+
+    A set of n at place i is the numbers from -i to n - i - 1, the list is that of 0.
+    """
+    pick = random.Random(percent)
+    members = {(70, 0), (100, 0), (105, 5), (145, 5)}
+    while len(members) < 90:
+        place = pick.randrange(8)
+        low, high = ((100, 110), (145, 150)) if place % 2 else ((60, 70), (95, 104))
+        members.add((pick.choice((pick.randint(*low), pick.randint(*high))), place))
+    members = sorted(members)
+    sets = [np.arange(5000 - i, 5000 + n - i).astype(np.uint64) for n, i in members]
+    want = {
+        (a, b)
+        for a in range(len(sets))
+        for b in range(a + 1, len(sets))
+        if 100 * len(np.intersect1d(sets[a], sets[b]))
+        >= percent * len(np.union1d(sets[a], sets[b]))
+    }
+    same = [0] * len(sets)
+    rows = pa.table(
+        {
+            "token": same, "set": range(len(sets)), "n": [n for n, _ in members],
+            "place": [i for _, i in members], "label": range(len(sets)), "part": same,
+            "left": same, "right": same, "signature": [signature(s) for s in sets],
+            "failed": pa.array([[]] * len(sets), pa.list_(pa.int64())),
+        }
+    )
+    found = _candidates(percent, skip=False)(rows)
+    pairs = set(zip(found["a"].to_pylist(), found["b"].to_pylist(), strict=True))
+    reviewed = (members.index((100, 0)), members.index((105, 5)))
+    assert tuple(sorted(reviewed)) in want
+    assert want and want <= pairs
+
+
 def test_relations():
     known = _Relations()
     assert known.relate(5, 3) and known.relate(9, 5) and not known.relate(3, 9)

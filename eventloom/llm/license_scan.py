@@ -1,8 +1,8 @@
 """Licence scans: sentences become identifiers, identifier sequences match ordered rules.
 
 A text is parted into sentences at line ends and after full stops. A sentence is normalised
-(lower case, anything but letters and digits is one space) and looked up among known
-licence sentences. The identifiers of a document, in text order, form a sequence. Rules are
+(lower case, anything but letters and digits is one space), and all known licence sentences
+in it are found, also two licences named together. The identifiers of a document, in text order, form a sequence. Rules are
 tried in order; a rule is a sequence of identifiers that must follow one another with at
 most a few other identifiers in between, and what it matches is used up. Identifiers no
 rule used are reported as they are.
@@ -81,23 +81,85 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("Public-Domain", ("public_domain",)),
 )
 
+# SPDX lines: identifier, normalised name and licence. Other names are reported as they are.
+_SPDX: tuple[tuple[str, str, str], ...] = (
+    ("spdx_apache2", r"apache 2 0\b", "Apache-2.0"),
+    ("spdx_mit", r"mit\b(?! 0)", "MIT"),
+    ("spdx_bsd3", r"bsd 3 clause\b", "BSD-3-Clause"),
+    ("spdx_bsd2", r"bsd 2 clause\b", "BSD-2-Clause"),
+    ("spdx_agpl", r"agpl [13] 0\b", "AGPL"),
+    ("spdx_lgpl", r"lgpl [23] [01]\b", "LGPL"),
+    ("spdx_gpl3", r"gpl 3 0\b", "GPL-3.0"),
+    ("spdx_gpl2", r"gpl 2 0\b", "GPL-2.0"),
+    ("spdx_mpl2", r"mpl 2 0\b", "MPL-2.0"),
+    ("spdx_cc_by_nc", r"cc by nc 4 0\b", "CC-BY-NC-4.0"),
+    ("spdx_cc_by_sa", r"cc by sa 4 0\b", "CC-BY-SA-4.0"),
+    ("spdx_cc_by", r"cc by 4 0\b", "CC-BY-4.0"),
+    ("spdx_cc0", r"cc0 1 0\b", "CC0-1.0"),
+    ("spdx_other", r"[a-z0-9]+\b", ""),
+)
+_OWN_GPL = r"(?<!lesser )(?<!library )(?<!affero )\bgeneral public licen[cs]e,? v(?:ersion )?"
+# What is looked up: no plain GPL within the lesser and the Affero one, and SPDX names.
+KNOWN: dict[str, str] = SENTENCES | {
+    "apache2_asis": r"unless required by applicable law .*? distributed under the licen[cs]e is distributed on an as is",
+    "bsd_names": r"neither the name of .*? may be used to endorse or promote products",
+    "bsd_asis": r"this software is provided by .*? as is and any express or implied warranties",
+    "gpl3_named": _OWN_GPL + "3",
+    "gpl2_named": _OWN_GPL + "2",
+    "lgpl_named": r"\b(?:lesser|library) general public licen[cs]e",
+    "agpl_named": r"\baffero general public licen[cs]e",
+} | {name: rf"\bspdx license identifier {p}" for name, p, _ in _SPDX}
+ALL_RULES = RULES + tuple((licence, (name,)) for name, _, licence in _SPDX if licence)
+
+_NAMED = r"\b(?:released|licen[cs]ed|available|distributed) under\b"
+_NEXT = r"(?:apache|mit|(?:[234] clause |new |modified |simplified )?bsd)\b"
+
 
 def normalised(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
 
 
-def identifier(sentence: Column, known: Mapping[str, str]) -> Column:
-    """Identifier of a normalised sentence, the first whose expression it holds, or NULL."""
-    return F.coalesce(
-        *[F.when(sentence.rlike(pattern), F.lit(name)) for name, pattern in known.items()]
+def _each_named(sentence: Column) -> Column:
+    """A normalised sentence with what leads up to the first of its licences before each."""
+    tag = "spdx license identifier "
+    one = F.regexp_replace(sentence, r"\bunder either (?:of )?", "under ")
+    one = F.regexp_replace(
+        one,
+        rf"\b(licen[cs]e(?: v?(?:ersion )?[0-9](?: [0-9])?)?) (?:and |or )+"
+        rf"(?:at your option )?(?:under )?(?:the )?(?:terms of the )?(?={_NEXT})",
+        "$1 or licensed under the ",
+    )
+    return (
+        F.when(
+            sentence.startswith(tag), F.regexp_replace(sentence, r"\b(?:or|and) (?!later\b)", tag)
+        )
+        .when(sentence.rlike(_NAMED), one)
+        .otherwise(sentence)
+    )
+
+
+def names_in(sentence: Column, known: Mapping[str, str]) -> Column:
+    """All identifiers whose expressions a normalised sentence holds, in order of place.
+
+    Expressions may overlap; of those beginning at one place the first counts.
+    """
+    held = F.regexp_extract_all(
+        _each_named(sentence), F.lit("(?=(" + "|".join(known.values()) + "))"), F.lit(1)
+    )
+    return F.transform(
+        held,
+        lambda piece: F.coalesce(
+            *[F.when(piece.rlike(f"^(?:{p})$"), F.lit(name)) for name, p in known.items()]
+        ),
     )
 
 
-def identifiers(text: Column, known: Mapping[str, str] = SENTENCES) -> Column:
+def identifiers(text: Column, known: Mapping[str, str] = KNOWN) -> Column:
     """Identifiers of a text's licence sentences, in text order."""
-    parts = F.split(text, r"\n|(?<=[.!?])[\x09-\x0D\x20]+(?=[^a-z])")
+    tagged = F.regexp_replace(text, r"(?i)\b(spdx-license-identifier:[^\n]*)", "\n$1")
+    parts = F.split(tagged, r"\n|(?<=[.!?])[\x09-\x0D\x20]+(?=[^a-z])")
     sentences = F.filter(parts, lambda s: s.rlike(CUES))
-    names = F.transform(sentences, lambda s: identifier(normalised(s), known))
+    names = F.flatten(F.transform(sentences, lambda s: names_in(normalised(s), known)))
     return F.array_compact(names)
 
 
@@ -110,8 +172,8 @@ def scan_licences(
     docs: DataFrame,
     id_column: str = "doc_id",
     text_column: str = "text",
-    known: Mapping[str, str] = SENTENCES,
-    rules: Sequence[tuple[str, Sequence[str]]] = RULES,
+    known: Mapping[str, str] = KNOWN,
+    rules: Sequence[tuple[str, Sequence[str]]] = ALL_RULES,
     gap: int = 2,
 ) -> DataFrame:
     """One row per row of ``docs``: n_sentences, licences and unmatched identifiers.

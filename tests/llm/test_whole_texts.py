@@ -155,6 +155,26 @@ def test_licences(docs, spark, rows_of):
     ]
 
 
+def test_all_licences_of_a_sentence(spark, rows_of):
+    gpl = "General Public License, version 3"
+    rows = [
+        (1, f"Licensed under the GNU Lesser {gpl}."),
+        (2, f"It is under the terms of the GNU Affero {gpl}."),
+        (3, "Licensed under the MIT License or the Apache License, Version 2.0."),
+        (4, "Licensed under either of Apache License, Version 2.0 or MIT license at your option."),
+        (5, f"Licensed under the GNU Lesser {gpl} or the GNU {gpl}."),
+        (6, "// SPDX-License-Identifier: MIT"),
+        (7, "# SPDX-License-Identifier: (Apache-2.0 OR GPL-2.0-or-later) */"),
+        (8, "SPDX-License-Identifier: Zlib"),
+    ]
+    found = scan_licences(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert rows_of(found, "doc_id", "n_sentences", "licences", "unmatched") == [
+        (1, 1, "LGPL", ""), (2, 1, "AGPL", ""), (3, 2, "Apache-2.0,MIT", ""),
+        (4, 2, "Apache-2.0,MIT", ""), (5, 2, "LGPL,GPL-3.0", ""), (6, 1, "MIT", ""),
+        (7, 2, "Apache-2.0,GPL-2.0", ""), (8, 1, "", "spdx_other"),
+    ]
+
+
 OPERATORS = {
     "classes": lambda d, labels: set_classes(d, **SMALL),
     "one": lambda d, labels: one_per_class(d, **SMALL),

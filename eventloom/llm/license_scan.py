@@ -1,6 +1,7 @@
 """Licence scans: sentences become identifiers, identifier sequences match ordered rules.
 
-A text is parted into sentences at line ends and after full stops. A sentence is normalised
+A text is parted into sentences at blank lines, before copyright lines and after full stops;
+wrapped lines and their comment marks are joined. A sentence is normalised
 (lower case, anything but letters and digits is one space), and all known licence sentences
 in it are found, also two licences named together. The identifiers of a document, in text order, form a sequence. Rules are
 tried in order; a rule is a sequence of identifiers that must follow one another with at
@@ -111,6 +112,15 @@ KNOWN: dict[str, str] = SENTENCES | {
 } | {name: rf"\bspdx license identifier {p}" for name, p, _ in _SPDX}
 ALL_RULES = RULES + tuple((licence, (name,)) for name, _, licence in _SPDX if licence)
 
+# Wrapped lines belong together, whatever comment marks they begin with. Texts are cut at
+# lines without letters and digits, before copyright lines, and after full stops.
+_CUT = (
+    r"\n[^A-Za-z0-9\n]*(?=\n)"
+    r"|\n(?=[^A-Za-z0-9\n]*(?i:copyright[^a-z0-9]+(?:c[^a-z0-9]+)?)(?:19|20)[0-9]{2}\b)"
+    r"|(?<=[.!?])[\x09-\x0D\x20]+(?=[^a-z])"
+)
+_WRAPPED_CUES = CUES.replace(" ", r"[^a-z0-9]+(?:(?:dnl|rem)[^a-z0-9]+)?")
+
 _NAMED = r"\b(?:released|licen[cs]ed|available|distributed) under\b"
 _NEXT = r"(?:apache|mit|(?:[234] clause |new |modified |simplified )?bsd)\b"
 
@@ -156,9 +166,10 @@ def names_in(sentence: Column, known: Mapping[str, str]) -> Column:
 
 def identifiers(text: Column, known: Mapping[str, str] = KNOWN) -> Column:
     """Identifiers of a text's licence sentences, in text order."""
-    tagged = F.regexp_replace(text, r"(?i)\b(spdx-license-identifier:[^\n]*)", "\n$1")
-    parts = F.split(tagged, r"\n|(?<=[.!?])[\x09-\x0D\x20]+(?=[^a-z])")
-    sentences = F.filter(parts, lambda s: s.rlike(CUES))
+    lines = F.regexp_replace(text, r"\r\n?", "\n")
+    lines = F.regexp_replace(lines, r"(?im)^[^a-z0-9\n]*(?:dnl|rem)\b", "")
+    tagged = F.regexp_replace(lines, r"(?i)\b(spdx-license-identifier:[^\n]*)", "\n\n$1\n")
+    sentences = F.filter(F.split(tagged, _CUT), lambda s: s.rlike(_WRAPPED_CUES))
     names = F.flatten(F.transform(sentences, lambda s: names_in(normalised(s), known)))
     return F.array_compact(names)
 
@@ -186,7 +197,7 @@ def scan_licences(
     none = F.array().cast("array<string>")
     rows = docs.select(
         F.col(id_column).alias("doc_id"), F.col(text_column).alias("__text")
-    ).withColumn("__ids", F.when(text.rlike(CUES), identifiers(text, known)).otherwise(none))
+    ).withColumn("__ids", F.when(text.rlike(_WRAPPED_CUES), identifiers(text, known)).otherwise(none))
     start = F.struct(
         F.concat(F.lit(" "), F.array_join("__ids", " "), F.lit(" ")).alias("rest"),
         none.alias("names"),

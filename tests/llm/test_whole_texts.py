@@ -175,6 +175,70 @@ def test_all_licences_of_a_sentence(spark, rows_of):
     ]
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 X
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files, to deal in the Software.
+
+The above copyright notice and this permission notice shall be
+included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF
+ANY KIND, EXPRESS OR IMPLIED.
+"""
+BSD = """Copyright 2019 X
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright
+   notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above
+   copyright notice in the documentation.
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products.
+
+THIS SOFTWARE IS PROVIDED BY THE HOLDERS "AS IS" AND
+ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.
+"""
+APACHE = """Licensed under the Apache License,
+Version 2.0 (the "License"); you may not use this file except
+in compliance with the License.
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS.
+"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY.
+"""
+WRAPPED = {
+    MIT: (4, "MIT", "copyright"), BSD: (7, "BSD-3-Clause", "copyright,all_rights"),
+    APACHE: (3, "Apache-2.0", ""), GPL: (3, "GPL-or-later", ""),
+    "It is placed in the public\ndomain.": (1, "Public-Domain", ""),
+}
+
+
+def test_wrapped_licence_texts(spark, rows_of):
+    marked = lambda text, mark: "".join(mark + x for x in text.splitlines(True))
+    rows, want = [], []
+    for text, result in WRAPPED.items():
+        for form in (
+            text, text.replace("\n", "\r\n"), f"/*\n{marked(text, ' * ')} */\nint x;",
+            marked(text, "# "), marked(text, "// "), marked(text, "dnl "),
+        ):
+            rows.append((len(rows), form))
+            want.append((len(want), *result))
+    found = scan_licences(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert rows_of(found, "doc_id", "n_sentences", "licences", "unmatched") == want
+
+
 OPERATORS = {
     "classes": lambda d, labels: set_classes(d, **SMALL),
     "one": lambda d, labels: one_per_class(d, **SMALL),

@@ -93,10 +93,42 @@ def scan_csv(
     return read_csv_shards(spark, path, schema, columns, multi_line)
 
 
+_NUMBERS = (T.IntegerType(), T.LongType(), T.DoubleType())
+
+
+def _common(one: T.DataType, other: T.DataType) -> T.DataType:
+    if one == other:
+        return one
+    if one in _NUMBERS and other in _NUMBERS:
+        return max(one, other, key=_NUMBERS.index)
+    return T.StringType()
+
+
 def infer_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Scan with column types guessed from the data. Reads the data once to guess."""
+    """Scan with column types guessed from the data. Reads the data once to guess.
+
+    Columns are matched by header name. One that is guessed otherwise under other headers
+    has the widest type if all are numbers, and else is text.
+    """
     require_path(spark, path)
-    return _reader(spark, multi_line).option("inferSchema", True).csv(path)
+    by_header = _files_by_header(spark, path)
+    if not by_header:
+        raise MissingInput(f"no CSV files match {path}")
+    guesses = [
+        (paths, _reader(spark, multi_line).option("inferSchema", True).csv(paths).schema)
+        for paths in by_header.values()
+    ]
+    types: dict[str, T.DataType] = {}
+    for _, guess in guesses:
+        for f in guess:
+            types[f.name] = _common(types.get(f.name, f.dataType), f.dataType)
+    frames = [
+        _reader(spark, multi_line)
+        .schema(T.StructType([T.StructField(f.name, types[f.name]) for f in guess]))
+        .csv(paths)
+        for paths, guess in guesses
+    ]
+    return union_days(*frames)
 
 
 def load_csv(

@@ -125,6 +125,17 @@ def test_load_csv_appends(spark, warehouse, tmp_path, infer):
     assert loaded.count() == 4
 
 
+def test_inferred_csv_goes_by_name(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("a,b,c\n1,2,x\n")
+    (tmp_path / "2.csv").write_text("c,b,a\ny,0.5,7\n")
+    (tmp_path / "3.csv").write_text("b,a\n3,z\n")
+    df = csv_files.infer_csv(spark, f"{tmp_path}/*.csv")
+    assert dict(df.dtypes) == {"a": "string", "b": "double", "c": "string"}
+    assert sorted(tuple(r) for r in df.select("a", "b", "c").collect()) == [
+        ("1", 2.0, "x"), ("7", 0.5, "y"), ("z", 3.0, None),
+    ]
+
+
 def test_scan_csv_reads_chosen_columns(spark, tmp_path):
     csv_files.write_csv(predictions(spark), str(tmp_path / "out"))
     df = csv_files.scan_csv(spark, str(tmp_path / "out"), PREDICTIONS, ["user_pseudo_id"])

@@ -71,9 +71,15 @@ _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(starts, ends, document of each word); words never cross documents."""
-    inside = ~_IS_SPACE[data]
+def word_spans(
+    data: np.ndarray, offsets: np.ndarray, inside: np.ndarray | None = None
+) -> tuple[np.ndarray, ...]:
+    """(starts, ends, document of each word); words never cross documents.
+
+    ``inside`` says which bytes belong to words; all but white space if not given.
+    """
+    if inside is None:
+        inside = ~_IS_SPACE[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     edges = offsets[:-1][np.diff(offsets) > 0]

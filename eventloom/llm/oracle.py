@@ -107,3 +107,34 @@ SELECT d.doc_id, coalesce(len(r.ids), 0)::BIGINT AS n_sentences,
                 lambda x: x NOT IN ('', '#')), ','), '') AS unmatched
 FROM documents d LEFT JOIN {before} r ON r.doc_id = d.doc_id
 """
+
+
+def ranked_search(k: int = 50) -> str:
+    """Every occurrence of every term as a row; gains of shared terms added up and ranked."""
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    lower = f"translate(coalesce(text, ''), '{capitals}', '{capitals.lower()}')"
+    term = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+    return f"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({lower}, {term}) AS t
+  FROM documents),
+q AS MATERIALIZED (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all({lower}, {term})) AS term FROM benchmark),
+p AS MATERIALIZED (
+  SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(t) AS term FROM d)
+  WHERE term IN (SELECT term FROM q) GROUP BY r, term),
+s AS (SELECT count(*)::BIGINT AS n, sum(len(t))::BIGINT AS l FROM d WHERE len(t) > 0),
+w AS (
+  SELECT term, floor(1000 * ln((2 * any_value(s.n) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM p, s GROUP BY term),
+g AS (
+  SELECT q.item_id, p.r, sum(w.w * ((1000000000 * p.tf)
+           // (1000 * p.tf + 20 * (50 + (50 * len(d.t) * s.n) // s.l))))::BIGINT AS score
+  FROM q JOIN p ON p.term = q.term JOIN w ON w.term = q.term JOIN d ON d.r = p.r, s
+  GROUP BY q.item_id, p.r),
+o AS (
+  SELECT g.item_id, d.doc_id, g.score,
+         row_number() OVER (PARTITION BY g.item_id ORDER BY g.score DESC, d.doc_id) AS rank
+  FROM g JOIN d ON d.r = g.r WHERE g.score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM o WHERE rank <= {k}
+"""

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from eventloom.llm import oracle
 from eventloom.llm.common import table
 from eventloom.llm.jaccard_join import set_classes
+from eventloom.llm.lexical_search import ranked_search
 from eventloom.llm.license_scan import scan_licences
 from eventloom.llm.order_minhash import compare_with_next
 from eventloom.llm.packing import pack_documents
@@ -18,6 +19,7 @@ from eventloom.llm.quality_gam import score_documents
 from eventloom.llm.quality_rules import quality_report
 from eventloom.llm.substring_dedup import remove_repeated_windows
 from eventloom.llm.suffix_dedup import remove_repeated_bytes
+from eventloom.llm.whitening import whiten
 
 
 def tokenizer_path(name: str) -> str:
@@ -70,6 +72,14 @@ def op10_sentencepiece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op")}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
@@ -81,4 +91,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_license_scans": oracle.license_scan(),
         "op2_ngram_jaccard_join": oracle.jaccard_classes(),
         "op4_substring_dedup": oracle.substring_dedup(),
+        "op13_ranked_lexical_search": oracle.ranked_search(),
     }

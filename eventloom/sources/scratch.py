@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 _local: dict[str, str] = {}
@@ -39,6 +39,16 @@ def delete_dir(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def delete_scratch(table: DataFrame) -> None:
+    """Delete the folders above that ``table`` is read from; other folders are left alone."""
+    spark = table.sparkSession
+    made = _made.get(spark.sparkContext.applicationId, [])
+    read = {file.rsplit("/", 2)[-2] for file in table.inputFiles()}
+    for path in [p for p in made if p.rsplit("/", 1)[1] in read]:
+        made.remove(path)
+        delete_dir(spark, path)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete all folders this application made; call it when its results are stored."""
     for path in _made.pop(spark.sparkContext.applicationId, []):

@@ -50,28 +50,39 @@ def in_order(rows: pa.Table) -> pa.Table:
     return rows.take(pc.sort_indices(rows, sort_keys=keys, null_placement="at_start"))
 
 
-def _planes(values: np.ndarray) -> bytes:
+def planes(values: np.ndarray) -> bytes:
     """The arrays of first bytes, second bytes and so on: sorted values compress that way."""
     return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
 
 
-def _values(planes: bytes, kind: type) -> np.ndarray:
+def from_planes(planes: bytes, kind: type) -> np.ndarray:
     size = np.dtype(kind).itemsize
     by_byte = np.frombuffer(planes, np.uint8).reshape(size, len(planes) // size)
     return np.ascontiguousarray(by_byte.T).view(kind).ravel()
 
 
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each key, by its upper half; sorted keys have sorted buckets."""
+    return ((keys >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64)
+
+
+def _bucket_runs(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets that sorted ``keys`` are in, and where the keys of each begin and end."""
+    place = bucket_of(keys, buckets)
+    cuts = np.flatnonzero(np.r_[True, place[1:] != place[:-1], True]) if len(keys) else [0]
+    return place[cuts[:-1]], np.asarray(cuts)
+
+
 def questions(
     block: int, keys: np.ndarray, checks: np.ndarray, orders: np.ndarray | None, buckets: int
 ) -> list[tuple]:
     """Rows for sorted distinct ``keys`` with further bits and, if asked for, orders."""
-    limits = np.array([(b << 64) // buckets for b in range(1, buckets)], U64)
-    cuts = np.concatenate(([0], np.searchsorted(keys, limits), [len(keys)]))
     rows = []
-    for bucket in np.flatnonzero(np.diff(cuts)).tolist():
-        part = slice(cuts[bucket], cuts[bucket + 1])
-        order = b"" if orders is None else _planes(orders[part])
-        rows.append((block, bucket, _planes(keys[part]), _planes(checks[part]), order))
+    found, cuts = _bucket_runs(keys, buckets)
+    for bucket, begin, end in zip(found.tolist(), cuts[:-1], cuts[1:], strict=True):
+        part = slice(begin, end)
+        order = b"" if orders is None else planes(orders[part])
+        rows.append((block, bucket, planes(keys[part]), planes(checks[part]), order))
     return rows
 
 
@@ -89,8 +100,8 @@ def together(rows: pa.Table, check: type, order: type | None):
     """All keys of a bucket side by side, sorted so that equal ones are adjacent."""
     blobs = rows.column("keys").to_pylist()
     counts = np.array([len(b) // 8 for b in blobs])
-    keys = np.concatenate([_values(b, U64) for b in blobs])
-    checks = np.concatenate([_values(b, check) for b in rows.column("checks").to_pylist()])
+    keys = np.concatenate([from_planes(b, U64) for b in blobs])
+    checks = np.concatenate([from_planes(b, check) for b in rows.column("checks").to_pylist()])
     by_key = np.argsort(keys, kind="stable")
     k, c = keys[by_key], checks[by_key]
     if ((k[1:] == k[:-1]) & (c[1:] != c[:-1])).any():
@@ -100,7 +111,7 @@ def together(rows: pa.Table, check: type, order: type | None):
     same[1:] = (k[1:] == k[:-1]) & (c[1:] == c[:-1])
     orders = None
     if order is not None:
-        orders = np.concatenate([_values(b, order) for b in rows.column("orders").to_pylist()])
+        orders = np.concatenate([from_planes(b, order) for b in rows.column("orders").to_pylist()])
     return counts, keys, by_key, same, orders
 
 
@@ -183,15 +194,15 @@ def shared_and_earlier(check: type, order: type):
 
 def answers_of(rows: pa.Table, n: int, buckets: int, keys: np.ndarray, answers: int = 1):
     """Bits for sorted ``keys`` of a block, one array per answer, in the keys' order."""
-    limits = np.array([(b << 64) // buckets for b in range(1, buckets)], U64)
-    cuts = np.concatenate(([0], np.searchsorted(keys, limits), [n]))
+    found, cuts = _bucket_runs(keys, buckets)
+    runs = {b: (cuts[i], cuts[i + 1]) for i, b in enumerate(found.tolist())}
     out = [np.zeros(n, bool) for _ in range(answers)]
     for bucket, bits in zip(
         rows.column("bucket").to_pylist(), rows.column("bits").to_pylist(), strict=True
     ):
         if bucket < 0:
             continue
-        a, b = cuts[bucket], cuts[bucket + 1]
+        a, b = runs[bucket]
         packed = np.frombuffer(bits, np.uint8)
         width = len(packed) // answers
         for i, values in enumerate(out):

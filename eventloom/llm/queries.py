@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from eventloom.llm import oracle
+from eventloom.llm.class_model import score_texts
 from eventloom.llm.common import table
 from eventloom.llm.jaccard_join import set_classes
 from eventloom.llm.lexical_search import ranked_search
@@ -72,6 +73,10 @@ def op10_sentencepiece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"))
 

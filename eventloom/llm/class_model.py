@@ -4,9 +4,9 @@ P(word | word before) = P(class | class before) * P(word | class). Which class a
 is learned by exchange: a word moves to the class where the likelihood of all training tokens
 gains most, given the classes of its neighbours.
 
-1. Tasks cut the documents they read into blocks of a few megabytes. A block keeps its tokens
-   as places in the sorted list of its distinct words (64-bit hashes).
-2. Blocks send those lists with counts to buckets of the key space, which make the lexicon:
+1. Tasks cut the documents they read into blocks of some megabytes. A block keeps its tokens
+   as ranks among its distinct words, the most frequent first.
+2. The words (64-bit hashes) go with their counts to buckets of the key space, the lexicon:
    every word of the training documents with its count.
 3. A turn of the exchange: buckets tell the blocks the present classes of their words; blocks
    count, for each word, the classes to its left and right; buckets add these up. The matrix
@@ -21,8 +21,6 @@ turn moves classes and counts only. Everything is counted over all training docu
 
 from __future__ import annotations
 
-import gc
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -87,45 +85,60 @@ def tokens_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return tokens, size
 
 
+def _cut(batches: Iterator[pa.RecordBatch], block_bytes: int):
+    """(block, documents of a batch, their ids, held out, tokens, tokens per document).
+
+    Blocks are numbered within their task, so a task that runs again makes the same.
+    """
+    number = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        data, offsets = utf8_buffer(batch.column("text"))
+        held = batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+        for a, b in slices_of_documents(offsets, block_bytes):
+            number += 1
+            part = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+            yield number, batch.column("doc_id")[a:b], held[a:b], *tokens_of(*part)
+
+
 def _blocks(block_bytes: int, kind: pa.DataType):
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            data, offsets = utf8_buffer(batch.column("text"))
-            held = batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
-            for a, b in slices_of_documents(offsets, block_bytes):
-                tokens, size = tokens_of(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                keys, places = np.unique(tokens, return_inverse=True)
-                train = np.repeat(~held[a:b], size)
-                counts = np.bincount(places[train], minlength=len(keys))
-                number += 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([number]), pa.array([batch.column("doc_id")[a:b].to_pylist()], kind),
-                     *(pa.array([_packed(x)], pa.binary()) for x in (
-                         held[a:b].astype(np.uint8), _small(size), _small(places), keys,
-                         _small(counts)))],
-                    ["block", "doc_ids", "held", "sizes", "tokens", "keys", "counts"],
-                )
+    """Blocks with their tokens as ranks: words by falling count, then by hash."""
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, ids, held, tokens, size in _cut(batches, block_bytes):
+            _, places, totals = np.unique(tokens, return_inverse=True, return_counts=True)
+            rank = np.empty(len(totals), np.int64)
+            rank[_by_count(totals)] = np.arange(len(totals))
+            sent = (held.astype(np.uint8), _small(size), _small(rank[places]), _small(totals))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number]), pa.array([ids.to_pylist()], kind),
+                 *(pa.array([_packed(x)], pa.binary()) for x in sent)],
+                ["block", "doc_ids", "held", "sizes", "tokens", "totals"],
+            )
+
+    return blocks
 
-    return cut
 
+def _by_count(totals: np.ndarray) -> np.ndarray:
+    return np.argsort(-totals.astype(np.int64), kind="stable")
 
-def _lists(buckets: int):
+
+def _lists(block_bytes: int, buckets: int):
     """A row per block and bucket: sorted words and how often training documents have them."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, keys, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                keys, counts = _unpacked(keys), _unpacked(counts)
-                place = bucket_of(keys, buckets)
-                cuts = np.flatnonzero(np.r_[True, place[1:] != place[:-1], True])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block] * (len(cuts) - 1), pa.int64()),
-                     pa.array(place[cuts[:-1]], pa.int32()),
-                     *(pa.array([_packed(x[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary())
-                       for x in (keys, counts))],
-                    ["block", "bucket", "keys", "counts"],
-                )
+        for block, _, held, tokens, size in _cut(batches, block_bytes):
+            keys, places = np.unique(tokens, return_inverse=True)
+            train = places[np.repeat(~held, size)]
+            counts = _small(np.bincount(train, minlength=len(keys)))
+            place = bucket_of(keys, buckets)
+            cuts = np.flatnonzero(np.r_[True, place[1:] != place[:-1], True])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block] * (len(cuts) - 1), pa.int64()),
+                 pa.array(place[cuts[:-1]], pa.int32()),
+                 *(pa.array([_packed(x[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary())
+                   for x in (keys, counts))],
+                ["block", "bucket", "keys", "counts"],
+            )
 
     return send
 
@@ -200,19 +213,25 @@ def _answers(replies: pa.Table, column: str, kind: type) -> np.ndarray:
     return _joined(replies.column(column).take(pa.array(order)), kind)
 
 
+def _places(blocks: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Held out, tokens per document, and each token's place in the block's sorted words."""
+    held, size, tokens, totals = (
+        _unpacked(blocks.column(c)[0].as_py()) for c in ("held", "sizes", "tokens", "totals")
+    )
+    return held == 1, size.astype(np.int64), _by_count(totals)[tokens]
+
+
 def _neighbours(blocks: pa.Table, classes: np.ndarray, k: int):
     """Tokens of the training documents with their left class (k: the start) and right class
     (-1 after the end)."""
-    held, size, tokens = (
-        _unpacked(blocks.column(c)[0].as_py()) for c in ("held", "sizes", "tokens")
-    )
-    train = np.repeat(held == 0, size)
-    ends = np.cumsum(size.astype(np.int64))
+    held, size, tokens = _places(blocks)
+    train = np.repeat(~held, size)
+    ends = np.cumsum(size)
     own = classes[tokens].astype(np.int64)
     left, right = np.empty(len(own), np.int64), np.full(len(own), -1, np.int64)
     left[1:], right[:-1] = own[:-1], own[1:]
     left[ends - size], right[ends - 1] = k, -1
-    return tokens[train].astype(np.int64), left[train], right[train]
+    return tokens[train], left[train], right[train]
 
 
 def _contexts(k: int):
@@ -261,6 +280,18 @@ def _entries(rows: pa.Table, slots: int) -> tuple[np.ndarray, np.ndarray]:
     return _sums(np.concatenate([np.zeros(0, np.int64), *codes]), _joined(rows.column("counts"), np.int64))
 
 
+def _matrix(k: int):
+    """A block's share of the matrix of class bigrams."""
+
+    def matrix(blocks: pa.Table, replies: pa.Table) -> pa.Table:
+        classes = _answers(replies, "classes", np.uint8)
+        tokens, left, _ = _neighbours(blocks, classes, k)
+        cells = np.bincount(left * k + classes[tokens], minlength=(k + 1) * k)
+        return pa.table([pa.array([cells.tolist()], pa.list_(pa.int64()))], ["matrix"])
+
+    return matrix
+
+
 GATHERED = f"{WORDS}, codes binary, sums binary, matrix array<long>"
 
 
@@ -438,18 +469,15 @@ SCORED = "held_out boolean, n_tokens long, n_known long, train_tokens long, base
 
 def _score(model: ClassModel, kind: pa.DataType):
     def score(blocks: pa.Table, replies: pa.Table) -> pa.Table:
-        held, size, tokens = (
-            _unpacked(blocks.column(c)[0].as_py()) for c in ("held", "sizes", "tokens")
-        )
+        held, size, tokens = _places(blocks)
         counts = _answers(replies, "counts", np.int64)[tokens]
         classes = _answers(replies, "classes", np.int64)[tokens]
-        starts = np.cumsum(size.astype(np.int64)) - size
+        starts = np.cumsum(size) - size
         base = np.log10((counts + 1) / (model.tokens + model.types + 1))
         own = model.scores(classes, counts, starts) if model.tokens else base
         n = len(held)
         return pa.table(
-            [pa.array(blocks.column("doc_ids")[0].as_py(), kind), pa.array(held == 1),
-             pa.array(size.astype(np.int64)),
+            [pa.array(blocks.column("doc_ids")[0].as_py(), kind), pa.array(held), pa.array(size),
              pa.array(np.add.reduceat((counts > 0).astype(np.int64), starts)),
              pa.array(np.full(n, model.tokens)), pa.array(np.add.reduceat(base, starts)),
              pa.array(np.add.reduceat(own, starts))],
@@ -487,7 +515,7 @@ def score_texts(
     turns: int = 3,
     folds: int = 7,
     held_out_fold: int = 2,
-    block_bytes: int = 4 << 20,
+    block_bytes: int = 8 << 20,
     bucket_bytes: int = 16 << 20,
     report: dict | None = None,
 ) -> DataFrame:
@@ -516,12 +544,11 @@ def score_texts(
     cut = rows.mapInArrow(
         _blocks(block_bytes, pa.list_(arrow_kind)),
         f"block long, doc_ids array<{kind}>, held binary, sizes binary, tokens binary, "
-        "keys binary, counts binary",
+        "totals binary",
     )
     blocks = cut.repartition(parts, "block").persist(StorageLevel.DISK_ONLY)
     lists = (
-        blocks.select("block", "keys", "counts")
-        .mapInArrow(_lists(buckets), LISTS)
+        rows.mapInArrow(_lists(block_bytes, buckets), LISTS)
         .repartition(parts, "bucket")
         .persist(StorageLevel.DISK_ONLY)
     )
@@ -551,15 +578,19 @@ def score_texts(
         )
         return blocks.groupBy("block").cogroup(replies.groupBy("block"))
 
-    best = None
+    best, matrix = None, None
     for turn in range(turns + 1):
-        contexts = asked(state, False).applyInArrow(_contexts(classes), CONTEXTS)
-        gathered = written(
-            contexts.groupBy("bucket").cogroup(state.groupBy("bucket"))
-            .applyInArrow(_gather(classes), GATHERED),
-            "classes-gathered",
-        )
-        matrix = _cells(gathered, "matrix", classes)
+        if turn < turns:
+            contexts = asked(state, False).applyInArrow(_contexts(classes), CONTEXTS)
+            gathered = written(
+                contexts.groupBy("bucket").cogroup(state.groupBy("bucket"))
+                .applyInArrow(_gather(classes), GATHERED),
+                "classes-gathered",
+            )
+            matrix = _cells(gathered, "matrix", classes)
+        else:
+            shares = asked(state, False).applyInArrow(_matrix(classes), "matrix array<long>")
+            matrix = _cells(shares, "matrix", classes)
         value = likelihood(matrix)
         if report is not None:
             report.setdefault("likelihoods", []).append(value)
@@ -567,8 +598,7 @@ def score_texts(
             best = value, state, matrix
         if turn < turns:
             state = written(gathered.mapInArrow(_exchanged(matrix), WORDS), "classes-state")
-        delete_scratch(gathered)
-        gc.collect()
+            delete_scratch(gathered)
 
     _, state, matrix = best
     per_class = np.zeros(classes, np.int64)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -49,6 +50,26 @@ def delete_scratch(table: DataFrame) -> None:
         delete_dir(spark, path)
 
 
+def scratch_paths(spark: SparkSession) -> list[str]:
+    """Folders made by this application and not deleted yet, oldest first."""
+    return list(_made.get(spark.sparkContext.applicationId, []))
+
+
+def release(spark: SparkSession, paths: list[str] = (), keep: DataFrame | None = None) -> None:
+    """Delete the ``paths`` that ``keep`` is not read from, and shuffle files nothing needs.
+
+    Spark deletes the shuffle files of a plan when the driver's JVM collects the plan. Call
+    this after a large step whose result is stored.
+    """
+    read = set() if keep is None else {f.rsplit("/", 2)[-2] for f in keep.inputFiles()}
+    made = _made.get(spark.sparkContext.applicationId, [])
+    for path in [p for p in paths if p in made and p.rsplit("/", 1)[1] not in read]:
+        made.remove(path)
+        delete_dir(spark, path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete all folders this application made; call it when its results are stored."""
     for path in _made.pop(spark.sparkContext.applicationId, []):

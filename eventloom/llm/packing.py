@@ -5,19 +5,22 @@ themselves; the last pieces of a group's documents are packed first-fit decreasi
 tournament tree over the bins' free space finding the first bin that fits in log time.
 
 A piece depends on its document alone, so ids never leave the task that made them: the
-shuffle carries one short row per document's last piece. Groups are a hash of the
-document id modulo a number of groups that follows the number of documents, so a group
-holds about ``group_size`` of them at any scale and no source or copy group can fill one.
+shuffle carries one short row per document's last piece. Groups are a hash of id, text and
+the number of the row among equal ones of its task, modulo a number of groups that follows
+the number of documents. So a group holds about ``group_size`` of them at any scale, and
+neither a source nor repeated rows can fill one.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -80,12 +83,17 @@ def _byte_symbols() -> dict[str, int]:
 def _pieces(path: str, length: int, end_id: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Encoder(path)
+        task, seen = TaskContext.get().partitionId(), Counter()
         for batch in batches:
             rows = []
             for doc_id, text, row in zip(
                 batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                 batch.column(2).to_pylist(), strict=True,
             ):
+                # Equal rows may change places; the numbers they get are the same ones.
+                seen[row] += 1
+                if seen[row] > 1:
+                    row = hash((row, task, seen[row]))
                 ids = np.append(encode(text or ""), np.uint32(end_id)).astype("<u4")
                 for start in range(0, len(ids), length):
                     piece = ids[start : start + length]

@@ -158,3 +158,11 @@ def test_scores_of_odd_rows(odd_docs, no_docs, labels):
     assert rows.count() == odd_docs.count()
     assert rows.where("score is null or score < 0 or score > 1").count() == 0
     assert quality_gam.score_documents(no_docs, labels).count() == 0
+
+
+def test_repeated_rows_are_packed_in_many_groups(spark):
+    """As many groups of about the size asked for as without repeats."""
+    rows = spark.range(3000).selectExpr("1L AS doc_id", "'the same text' AS text")
+    packed = packing.pack_documents(rows, BPE, group_size=500)
+    sizes = [r[0] for r in packed.groupBy(F.expr("sequence_id >> 32")).count().select("count").collect()]
+    assert len(sizes) >= 5 and max(sizes) < 700 and sum(sizes) == 3000

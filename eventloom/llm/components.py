@@ -1,8 +1,11 @@
 """Connected components of links, by alternating large-star and small-star steps.
 
-Each step is a minimum per node and a join back: minima are taken in the map tasks first,
-so a node with a third of all links costs a row per task, and links shrink towards stars
-around the smallest node of each component. Steps are written to the shared folder.
+Each step is a minimum per node that all of the node's links need. The links of a node are
+dealt out into ``PARTS`` parts by their other end: minima are taken per node and part, then per
+node, and go back to the parts first and to the links of a part after that. So a hub's links
+never meet in one task; the largest group is a part of them. Links shrink towards stars around
+the smallest node of each component. Steps are written to the shared folder, and each step
+deletes what the one before wrote.
 """
 
 from __future__ import annotations
@@ -11,16 +14,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.llm.common import written
+from eventloom.sources.scratch import delete_scratch
 
+PARTS = 64
 
-def _least_neighbour(both: DataFrame) -> DataFrame:
-    return both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+
+def _with_least(links: DataFrame) -> DataFrame:
+    """(u, v, m) of all links; m is the least node that u is linked with, or u itself."""
+    dealt = links.withColumn("part", F.pmod(F.xxhash64("v"), F.lit(PARTS)))
+    per_part = dealt.groupBy("u", "part").agg(F.min("v").alias("low"))
+    least = per_part.groupBy("u").agg(F.least(F.min("low"), F.col("u")).alias("m"))
+    parts = per_part.join(least, "u").select("u", "part", "m")
+    return dealt.join(parts, ["u", "part"]).select("u", "v", "m")
 
 
 def _large_star(links: DataFrame) -> DataFrame:
     """Larger neighbours of a node are linked to its least neighbour instead."""
     both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    moved = both.join(_least_neighbour(both), "u").where("v > u")
+    moved = _with_least(both).where("v > u")
     # Repeated links stay: the small star takes minima over them, then drops repeats.
     return moved.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
 
@@ -28,11 +39,9 @@ def _large_star(links: DataFrame) -> DataFrame:
 def _small_star(links: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are linked to the least of them."""
     down = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return (
-        moved.union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-    )
+    moved = _with_least(down)
+    ends = F.explode(F.array("v", "u")).alias("u")
+    return moved.select(ends, F.col("m").alias("v")).where("u <> v").distinct()
 
 
 def components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
@@ -48,7 +57,8 @@ def components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
     )
     before = None
     for _ in range(most_rounds):
-        links = written(_small_star(_large_star(links)), "links")
+        last, links = links, written(_small_star(_large_star(links)), "links")
+        delete_scratch(last)
         # The stars stop changing when the sum over links does: each step only lowers ends.
         state = links.agg(
             F.count(F.lit(1)), F.sum(F.col("u").cast("decimal(38,0)")),

@@ -7,12 +7,11 @@
 3. Index lists are read block by block: entries lie in blocks by position, and a block is
    skipped whole where position and size leave too few common n-grams. Pairs that remain
    must agree in a parity signature, which bounds the number of n-grams they differ in.
-4. Of the pairs that pass, a set takes over the answers of a set it is found similar to: a
-   pair whose sets are already related through others in the list is skipped. The pairs
-   read are compared in full, and the links found form classes.
-5. A pair that looked similar and is not breaks the relations built on it. While there are
-   such pairs, lists of more than one class are read again, with what is known about pairs
-   and classes; the last time nothing is skipped but pairs within a class.
+4. Of the pairs that pass, one whose sets are already related through other candidates of
+   the task is skipped. The pairs read are compared in full, and the links found form classes.
+5. A pair that looked similar and is not breaks the relations built on it. If there are
+   such pairs, lists of more than one class are read again, and nothing is skipped then but
+   pairs within a class. With ``skip_related=False`` that is the only reading.
 
 No link between different classes is lost: every pair with a common prefix n-gram that
 could reach the threshold is compared, or its sets are in one class by compared links. A
@@ -41,6 +40,7 @@ from eventloom.llm.exchange import (
     questions,
     together,
 )
+from eventloom.sources.scratch import delete_scratch, release, scratch_paths
 
 SETS = (
     "n_shingles long, key_high long, key_low long, tokens array<long>, places array<int>, "
@@ -128,12 +128,12 @@ def least_common(total: np.ndarray, percent: int) -> np.ndarray:
 
 
 def signature(grams: np.ndarray) -> bytes:
-    """Parity of the number of n-grams in each of about four cells per n-gram.
+    """Parity of the number of n-grams in each of one to two cells per n-gram, at most 8192.
 
     An n-gram in one of two sets only changes one cell, so the sets differ in at least as
     many n-grams as their signatures in cells. A longer signature folds into a shorter one.
     """
-    cells = 8 * min(1024, max(64, 1 << (len(grams) // 2).bit_length()))
+    cells = 8 * min(1024, max(8, 1 << (len(grams) // 8).bit_length()))
     counts = np.bincount((grams & U64(cells - 1)).astype(np.int64), minlength=cells)
     return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
 
@@ -305,12 +305,6 @@ def _candidates(percent: int, skip: bool):
         distinct, at, number = np.unique(sets, return_index=True, return_inverse=True)
         blobs = rows.column("signature").take(pa.array(order[at])).to_pylist()
         signatures, relations = _Signatures(blobs), _Relations()
-        known = rows.column("failed").take(pa.array(order[at])).to_pylist()
-        failed = {
-            (a, b)
-            for a, others in zip(distinct.tolist(), known, strict=True)
-            for b in others or ()
-        }
         found: list[np.ndarray] = []
 
         def read(x: np.ndarray, y: np.ndarray) -> None:
@@ -322,10 +316,6 @@ def _candidates(percent: int, skip: bool):
             most = total - 2 * least_common(total, percent)
             ok = signatures.cells_apart(number[x], number[y]) <= most
             x, y = x[ok], y[ok]
-            if failed:
-                both = zip(sets[x].tolist(), sets[y].tolist(), strict=True)
-                ok = np.array([pair not in failed for pair in both], bool)
-                x, y = x[ok], y[ok]
             if not skip:
                 both = np.stack((sets[x], sets[y]), axis=1)
                 found.append(np.unique(np.sort(both, axis=1), axis=0))
@@ -384,13 +374,20 @@ def _similar(percent: int):
 
 def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs with ``ok``: a join brings each pair its two sets."""
-    full = sets.where(F.col("shingles").isNotNull()).select("doc_id", "shingles")
-    x = full.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
-    y = full.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
+    full = sets.where(F.col("shingles").isNotNull()).select("set", "shingles")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
+    if ends.count() <= _FEW:
+        # So few sets are wanted that the others need not be shuffled.
+        full = full.join(F.broadcast(ends), "set", "left_semi")
+    x = full.select(F.col("set").alias("a"), F.col("shingles").alias("x"))
+    y = full.select(F.col("set").alias("b"), F.col("shingles").alias("y"))
     rows = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
     return rows.mapInArrow(_similar(percent), f"{_PAIRS}, ok boolean")
 
 
+_FEW = 500_000  # numbers of sets that go into a broadcast: four megabytes
+
+
 # -- the join --------------------------------------------------------------------------
 
 
@@ -401,7 +398,7 @@ def set_classes(
     width: int = 3,
     percent: int = 90,
     list_part: int = 20_000,
-    turns: int = 2,
+    skip_related: bool = True,
     block_bytes: int = 4 << 20,
     bucket_bytes: int = 16 << 20,
 ) -> DataFrame:
@@ -409,10 +406,13 @@ def set_classes(
 
     Sets are linked when 100 * common >= percent * union; a component's id is the smallest
     id in it. NULL and empty texts and texts without words have empty sets, linked with
-    nothing, and are their own component. Rows with one id are one document as to links; a
-    NULL id takes the component of equal sets, or NULL. An empty table gives no rows; other
-    columns are not looked at.
+    nothing, and are their own component. Every row is a document: rows with one id and
+    different texts are linked as their texts are, and may be in different components. A
+    NULL id is never the smallest; a component of NULL ids alone has a NULL id. An empty
+    table gives no rows; other columns are not looked at.
     """
+    spark = docs.sparkSession
+    before = scratch_paths(spark)
     rows, buckets = blocked(docs, id_column, text_column, block_bytes, bucket_bytes)
     kind = rows.schema["doc_id"].dataType.simpleString()
     by_block = rows.groupBy("block")
@@ -424,57 +424,46 @@ def set_classes(
     described = by_block.cogroup(answers.groupBy("block")).applyInArrow(
         _describe(width, buckets, percent), f"doc_id {kind}, {SETS}"
     )
-    sets = written(described, "jaccard-sets")
+    # Rows are numbered as they are written, so the numbers stay.
+    sets = written(described.withColumn("set", F.monotonically_increasing_id()), "jaccard-sets")
+    release(spark)
 
-    # Equal sets are one: the smallest id stands for all.
+    # Equal sets are one: the least row number stands for all of them.
     key = ["n_shingles", "key_high", "key_low"]
     equal = written(
-        sets.where("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("rep")),
+        sets.where("n_shingles > 0")
+        .groupBy(*key)
+        .agg(F.min("set").alias("set"), F.min("doc_id").alias("least_id")),
         "jaccard-equal",
     )
-    reps = sets.where(F.size("tokens") > 0).join(
-        equal.withColumnRenamed("rep", "doc_id"), [*key, "doc_id"], "left_semi"
-    )
+    reps = sets.where(F.size("tokens") > 0).join(equal.select("set"), "set", "left_semi")
     entries = reps.select(
-        F.col("doc_id").alias("set"), F.col("n_shingles").alias("n"),
+        "set", F.col("n_shingles").alias("n"),
         F.explode(F.arrays_zip("tokens", "places")).alias("e"),
     ).select(
         "set", "n", F.col("e.tokens").alias("token"),
         F.col("e.places").cast("long").alias("place"),
     )
     sizes = entries.groupBy("token").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
-    listed = written(
-        entries.join(sizes, "token").select(
-            "token", "set", "n", "place",
-            F.ceil(F.col("many") / list_part).cast("int").alias("parts"),
-        ),
-        "jaccard-lists",
-    )
+    parts = F.ceil(F.col("many") / list_part).cast("int")
     part = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("set"), "parts")).otherwise(0)
-    signed = sets.where(F.col("signature").isNotNull()).select(
-        F.col("doc_id").alias("set"), "signature"
-    )
     listed = written(
-        listed.withColumn("part", part.cast("int")).join(
-            signed.dropDuplicates(["set"]), "set"
-        ),
-        "jaccard-entries",
+        entries.join(sizes, "token")
+        .withColumn("parts", parts)
+        .select("token", "set", "n", "place", "parts", part.cast("int").alias("part")),
+        "jaccard-lists",
     )
+    signed = sets.where(F.col("signature").isNotNull()).select("set", "signature")
 
     links = failed = classes = None
-    for turn in range(turns):
+    for skip in (True, False) if skip_related else (False,):
         entries = listed
         if classes is None:
             entries = entries.withColumn("label", F.col("set"))
-            entries = entries.withColumn("failed", F.array().cast("array<long>"))
         else:
             labels = classes.select(F.col("node").alias("set"), "label")
-            both = failed.union(failed.select(F.col("b"), F.col("a")))
-            others = both.groupBy(F.col("a").alias("set")).agg(F.collect_set("b").alias("failed"))
-            entries = (
-                entries.join(labels, "set", "left")
-                .withColumn("label", F.coalesce("label", "set"))
-                .join(others, "set", "left")
+            entries = entries.join(labels, "set", "left").withColumn(
+                "label", F.coalesce("label", "set")
             )
             several = entries.groupBy("token").agg(
                 F.min("label").alias("low"), F.max("label").alias("high")
@@ -484,20 +473,20 @@ def set_classes(
             )
         # A long list's parts meet two by two.
         other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-        dealt = entries.withColumn("with", other).select(
-            "token", "set", "n", "place", "label", "part", "signature", "failed",
+        dealt = entries.join(signed, "set").withColumn("with", other).select(
+            "token", "set", "n", "place", "label", "part", "signature",
             F.least("part", "with").alias("left"), F.greatest("part", "with").alias("right"),
         )
         deal = F.pmod(F.xxhash64("token", "left", "right"), F.lit(buckets * 4))
         pairs = (
             dealt.groupBy(deal.alias("deal"))
-            .applyInArrow(_candidates(percent, skip=turn < turns - 1), _PAIRS)
+            .applyInArrow(_candidates(percent, skip=skip), _PAIRS)
             .distinct()
         )
-        compared = written(
-            _compared(written(pairs, "jaccard-pairs"), sets, percent).distinct(),
-            "jaccard-compared",
-        )
+        if failed is not None:
+            pairs = pairs.join(failed, ["a", "b"], "left_anti")
+        pairs = written(pairs, "jaccard-pairs")
+        compared = written(_compared(pairs, sets, percent).distinct(), "jaccard-compared")
         good = compared.where("ok").select("a", "b")
         bad = compared.where("not ok").select("a", "b")
         links = good if links is None else links.union(good)
@@ -505,14 +494,21 @@ def set_classes(
         classes = components(links)
         if bad.isEmpty():
             break
-    final = classes
 
-    named = equal.join(final.withColumnRenamed("node", "rep"), "rep", "left").select(
-        *key, F.coalesce("label", "rep").alias("class")
-    )
-    return sets.select("doc_id", *key).join(named, key, "left").select(
-        "doc_id", "n_shingles", F.coalesce("class", "doc_id").alias("component_id")
+    # A class's id is the least of its documents' ids; a class is of one set or several.
+    named = equal.join(
+        classes.select(F.col("node").alias("set"), "label"), "set", "left"
+    ).withColumn("label", F.coalesce("label", "set"))
+    per_class = named.groupBy("label").agg(F.min("least_id").alias("class"))
+    named = named.join(per_class, "label").select(*key, "class")
+    empty = F.when(F.col("n_shingles") == 0, F.col("doc_id"))
+    final = sets.select("doc_id", *key).join(named, key, "left").select(
+        "doc_id", "n_shingles", F.coalesce(empty, "class").alias("component_id")
     )
+    final = written(final, "jaccard-classes")
+    done = scratch_paths(spark)
+    release(spark, [p for p in done if p not in before], keep=final)
+    return final
 
 
 def one_per_class(
@@ -521,11 +517,12 @@ def one_per_class(
     """``docs`` without the documents that are linked with one of a smaller id.
 
     Rows with a NULL id stay unless they are linked with a row that has one. Of rows with
-    one id each stays if the id does.
+    one id each stays if the text of any of them does.
     """
     classes = set_classes(docs, id_column, text_column, **options)
     stay = classes.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(
         F.col("doc_id").alias("__stays")
     )
     stay = written(stay.distinct(), "jaccard-stay")
+    delete_scratch(classes)
     return docs.join(stay, F.col(id_column).eqNullSafe(F.col("__stays")), "left_semi")

@@ -100,7 +100,6 @@ def test_long_lists_lose_no_similar_pair(percent):
             "token": same, "set": range(len(sets)), "n": [n for n, _ in members],
             "place": [i for _, i in members], "label": range(len(sets)), "part": same,
             "left": same, "right": same, "signature": [signature(s) for s in sets],
-            "failed": pa.array([[]] * len(sets), pa.list_(pa.int64())),
         }
     )
     found = _candidates(percent, skip=False)(rows)
@@ -116,7 +115,7 @@ def test_relations():
     assert known.roots(np.array([9, 4, 5])).tolist() == [3, 4, 3]
 
 
-def test_turns_do_not_change_the_classes(spark):
+def test_skipping_does_not_change_the_classes(spark):
     """Many sets around the threshold: neighbours are similar or just not."""
     words = [f"w{k}" for k in range(120)]
     texts = []
@@ -127,7 +126,46 @@ def test_turns_do_not_change_the_classes(spark):
         texts.append((k, " ".join(own[: 120 - k % 5])))
     docs = spark.createDataFrame(texts, "doc_id long, text string")
     want = brute.classes(texts)
-    for turns in (1, 2, 4):
-        rows = set_classes(docs, turns=turns, block_bytes=4000, bucket_bytes=4000).collect()
+    for skip in (True, False):
+        rows = set_classes(docs, skip_related=skip, block_bytes=4000, bucket_bytes=4000).collect()
         assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == want
     assert 1 < len({c for _, c in want.values()}) < 40
+
+
+def test_links_of_a_hub_meet_in_parts(spark):
+    """The plan joins links with minima by node and part; a hub's parts are small."""
+    from pyspark.sql import functions as F
+
+    from eventloom.llm.components import PARTS, _with_least
+
+    links = spark.createDataFrame([(1, k) for k in range(2, 3002)], "u long, v long")
+    found = _with_least(links)
+    assert {tuple(r) for r in found.select("u", "m").distinct().collect()} == {(1, 1)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "part" in next(line for line in plan.splitlines() if "Join Inner" in line)
+    part = F.pmod(F.xxhash64("v"), F.lit(PARTS))
+    largest = links.groupBy("u", part).count().agg(F.max("count")).first()[0]
+    assert largest < 2 * 3000 / PARTS
+
+
+def _classes(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    return sorted(
+        ((r.doc_id, r.component_id) for r in set_classes(docs, block_bytes=4000).collect()),
+        key=lambda r: tuple((x is None, x or 0) for x in r),
+    )
+
+
+def test_one_id_with_several_texts_and_null_ids(spark):
+    """Links follow the texts; an id shared by two texts or missing loses none."""
+    first, second, third = (
+        " ".join(f"{name}{k}" for k in range(80)) for name in ("a", "b", "c")
+    )
+    near = lambda text: text + " more"
+    rows = [
+        (1, first), (1, second), (5, near(first)), (6, near(second)),
+        (7, third), (None, near(third)), (None, "alone here"), (None, None), (8, ""),
+    ]
+    assert _classes(spark, rows) == [
+        (1, 1), (1, 1), (5, 1), (6, 1), (7, 7), (8, 8), (None, 7), (None, None), (None, None)
+    ]

@@ -21,8 +21,16 @@ from eventloom.functions import geo_time, labels, scalars
 from eventloom.functions.params import pivot_params
 from eventloom.operators import grouping, ordering
 from eventloom.plans import marts, scoring
-from eventloom.plans.daily import ingest_days, refresh_marts, score_day
-from eventloom.plans.features import model_features
+from eventloom.plans.churn_state import revise_churn
+from eventloom.plans.daily import (
+    FEATURE_PARTS,
+    as_date,
+    ingest_days,
+    refresh_marts,
+    score_day,
+    store_feature_parts,
+)
+from eventloom.plans.features import model_features, model_features_of
 from eventloom.plans.flatten import flatten_events
 from eventloom.schemas import PREDICTIONS
 from eventloom.sources.csv_files import load_csv, read_csv_shards, scan_csv, write_csv
@@ -589,6 +597,25 @@ def ml_user_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _feature_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Parts of the model features as stored day by day."""
+    flat = flat_table(spark, sf_dir)
+    days = _all_days(flat)
+    warehouse = Warehouse(spark, new_dir(spark, "parts"))
+    store_feature_parts(warehouse, flat, days)
+    return tuple(warehouse.read(name) for name in FEATURE_PARTS)
+
+
+@_query
+def ml_user_features_from_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shown(
+        model_features_of(*_feature_parts(spark, sf_dir)),
+        avg_engagement_time_msec=4,
+        avg_session_number=4,
+        view_to_cart_rate=4,
+    )
+
+
 def _decided_by_formula(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probabilities from a fixed formula of the features, in place of a model."""
     c = F.col
@@ -700,6 +727,40 @@ def score_churn_fixed_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _probabilities(model.transform(matrix), 4)
 
 
+@_query
+def score_purchase_from_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model trained on users' days from parts: does it score as the direct one does?"""
+    parts = _feature_parts(spark, sf_dir)
+    features = model_features_of(*parts, by=(USER, "event_date"))
+    model = scoring.train_purchase(features)
+    direct = scoring.train_purchase(_users_by_day(spark, sf_dir))
+    return _agreeing(model_features_of(*parts), model, direct, scoring.purchase_matrix)
+
+
+@_query
+def score_churn_from_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model of who came back, from parts: does it score as the direct one does?"""
+    parts = _feature_parts(spark, sf_dir)
+    model = scoring.train_churn_on_parts(*parts, SCORING_DAY, 15)
+    direct = scoring.train_churn_on_history(flat_table(spark, sf_dir), SCORING_DAY, 15)
+    return _agreeing(model_features_of(*parts), model, direct, scoring.churn_matrix)
+
+
+def _agreeing(
+    features: DataFrame,
+    model: PipelineModel,
+    direct: PipelineModel,
+    matrix: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """Users with their events, and whether two models give them one probability."""
+    p = F.get(scoring.vector_to_array("probability"), F.lit(1))
+    first = model.transform(matrix(features)).withColumn("first", p)
+    used = ("raw_vector", "vector", "rawPrediction", "probability", "prediction")
+    both = direct.transform(first.drop(*used)).withColumn("second", p)
+    close = F.abs(F.col("first") - F.col("second")) < 1e-6
+    return both.select(USER, "total_events", close.alias("same"), F.col("first").between(0, 1).alias("valid"))
+
+
 @_query
 def model_label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = scoring.purchase_matrix(_users_by_day(spark, sf_dir))
@@ -760,8 +821,20 @@ def history_churn_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = _all_days(flat_table(spark, sf_dir))
     early = [d for d in days if d <= "20201205"]
     warehouse = _ingested(spark, sf_dir, early, days[len(early) :], churn="history")
-    stored = warehouse.read("session_funnel")
-    return _shown(stored.drop("session_engagement_time"))
+    return _shown(warehouse.read("session_funnel"))
+
+
+@_query
+def history_churn_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flags kept by the state per user: most days at once, then one by one, one again."""
+    sessions = marts.session_funnel(flat_table(spark, sf_dir))
+    warehouse = Warehouse(spark, new_dir(spark, "churn"))
+    days = [as_date(d) for d in _all_days(flat_table(spark, sf_dir))]
+    for part in (days[:-6], *[[d] for d in days[-6:]], [days[-2]]):
+        rows = sessions.where(F.col("session_date").isin(*part))
+        warehouse.replace_days("session_funnel", rows, part)
+        revise_churn(warehouse, part, marts.DEFAULT_GAP_DAYS)
+    return _shown(warehouse.read("session_funnel"))
 
 
 # -- writing ---------------------------------------------------------------------------

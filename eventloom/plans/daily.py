@@ -9,25 +9,24 @@ from typing import Literal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.operators.ordering import with_gap_flag
 from eventloom.plans import marts
-from eventloom.plans.features import model_features
+from eventloom.plans.churn_state import revise_churn
+from eventloom.plans.features import feature_day_facts, feature_day_totals, model_features_of
 from eventloom.plans.flatten import Merge, flatten_events
 from eventloom.plans.scoring import (
     load_or_train,
     prediction_trend,
     predictions,
     score,
-    train_churn_on_history,
+    train_churn_on_parts,
     train_purchase,
     with_decisions,
 )
-from eventloom.schemas import SESSION_FUNNEL, as_schema
 from eventloom.sources.run_log import log_run
-from eventloom.sources.scratch import delete_dir, new_dir
 from eventloom.sources.warehouse import Warehouse
 
 WriteMode = Literal["replace_days", "append"]
+FEATURE_PARTS = ("feature_day_totals", "feature_day_facts")
 
 
 def as_date(day: str) -> date:
@@ -66,43 +65,6 @@ def ingest_days(
         )
 
 
-def _revise_churn(warehouse: Warehouse, days: Sequence[date], gap_days: int) -> list[date]:
-    """Bring the stored churn flags of the users seen on ``days`` up to date.
-
-    A new day can only change flags of users that are active on it. Their stored sessions
-    are flagged anew; days with a flag that differs are rewritten, from a copy, because a
-    table cannot be read while it is replaced. Returns those days: short dates, at most
-    one per calendar day.
-    """
-    stored = warehouse.read("session_funnel")
-    keys = ["user_pseudo_id", "session_date", "ga_session_id"]
-    active = stored.where(F.col("session_date").isin(*days)).select("user_pseudo_id").distinct()
-    theirs = stored.select(*keys, F.col("churn_session_flag").alias("before")).join(
-        active, "user_pseudo_id", "left_semi"
-    )
-    flagged = with_gap_flag(theirs, gap_days, "after").where("before <> after")
-    changes = _copied(warehouse, flagged.drop("before"), "revised")
-    revised = warehouse.spark.read.parquet(changes)
-    touched = [r[0] for r in revised.select("session_date").distinct().collect()]
-    if touched:
-        rows = stored.where(F.col("session_date").isin(*touched)).join(revised, keys, "left")
-        rows = rows.withColumn(
-            "churn_session_flag", F.coalesce("after", "churn_session_flag")
-        )
-        copy = _copied(warehouse, as_schema(rows, SESSION_FUNNEL), "sessions")
-        fresh = warehouse.spark.read.schema(SESSION_FUNNEL).parquet(copy)
-        warehouse.replace_days("session_funnel", fresh, touched)
-        delete_dir(warehouse.spark, copy)
-    delete_dir(warehouse.spark, changes)
-    return touched
-
-
-def _copied(warehouse: Warehouse, rows: DataFrame, purpose: str) -> str:
-    path = new_dir(warehouse.spark, purpose)
-    rows.write.parquet(path)
-    return path
-
-
 def refresh_marts(
     warehouse: Warehouse,
     days: Sequence[str],
@@ -129,7 +91,7 @@ def refresh_marts(
     _store(warehouse, "orders", marts.orders(flat), days, mode)
     _store(warehouse, "order_items", marts.order_items(flat), days, mode)
     _store(warehouse, "session_funnel", marts.session_funnel(flat), dates, mode)
-    revised = _revise_churn(warehouse, dates, gap_days) if churn == "history" else []
+    revised = revise_churn(warehouse, dates, gap_days) if churn == "history" else []
     day_sessions = warehouse.read("session_funnel", dates)
     _store(warehouse, "funnel_daily", marts.funnel_daily(day_sessions), dates, mode)
     # The parts per day are derived from what is stored, so they replace their days.
@@ -143,6 +105,7 @@ def refresh_marts(
     if stored is None:
         _store(warehouse, "user_day_totals", marts.user_day_totals(flat), days, mode)
         _store(warehouse, "user_day_facts", marts.user_day_facts(flat), days, mode)
+        store_feature_parts(warehouse, flat, days, mode)
         totals = marts.user_event_totals_from_days(
             warehouse.read("user_day_totals"), warehouse.read("user_day_facts")
         )
@@ -154,6 +117,17 @@ def refresh_marts(
     )
 
 
+def store_feature_parts(
+    warehouse: Warehouse,
+    flat: DataFrame,
+    days: Sequence[str],
+    mode: WriteMode = "replace_days",
+) -> None:
+    """Parts of the model features for ``days``, from those days' events."""
+    _store(warehouse, "feature_day_totals", feature_day_totals(flat), days, mode)
+    _store(warehouse, "feature_day_facts", feature_day_facts(flat), days, mode)
+
+
 def score_day(
     warehouse: Warehouse,
     day: str,
@@ -168,27 +142,36 @@ def score_day(
     and saved there: the purchase model on users' days, the churn model on who came back
     within ``churn_days`` after a cut-off so long before. A day without users stores no
     predictions and a trend row of zeros, and needs no model.
+
+    Features are added up from parts per day. Of the events, ``day`` is read to make its
+    parts, and days that have none yet; a trained model needs no event of any other day.
     """
     when = as_date(day)
-    features = model_features(warehouse.read("raw_events", [day])).cache()
+    known = set(warehouse.days("feature_day_totals")) - {day}
+    missing = [d for d in warehouse.days("raw_events") if d not in known]
+    store_feature_parts(warehouse, warehouse.read("raw_events", missing), missing)
+    day_parts = [warehouse.read(name, [day]) for name in FEATURE_PARTS]
+    features = model_features_of(*day_parts).cache()
     try:
         if features.isEmpty():
             scored = features.withColumns(
                 {"purchase_probability": F.lit(0.0), "churn_probability": F.lit(0.0)}
             )
         else:
-            history = warehouse.read("raw_events").where(F.col("event_date") <= day)
+            history = [
+                warehouse.read(name).where(F.col("event_date") <= day) for name in FEATURE_PARTS
+            ]
             purchase = load_or_train(
                 warehouse.spark,
                 f"{model_root}/purchase",
                 lambda: train_purchase(
-                    model_features(history, by=("user_pseudo_id", "event_date"))
+                    model_features_of(*history, by=("user_pseudo_id", "event_date"))
                 ),
             )
             churn = load_or_train(
                 warehouse.spark,
                 f"{model_root}/churn",
-                lambda: train_churn_on_history(history, when, churn_days),
+                lambda: train_churn_on_parts(*history, when, churn_days),
             )
             scored = score(features, purchase, churn)
         decided = with_decisions(scored)

@@ -20,7 +20,7 @@ from eventloom.functions.labels import (
     risk_tier,
     value_tier,
 )
-from eventloom.plans.features import model_features
+from eventloom.plans.features import model_features, model_features_of
 from eventloom.schemas import PREDICTION_TREND, PREDICTIONS, as_schema
 from eventloom.sources.guards import path_exists
 
@@ -150,6 +150,19 @@ def train_churn(
     return fit_classifier(labelled, CHURN_FEATURES, "is_churned", max_iter)
 
 
+def cut_off(until: date, churn_days: int) -> str:
+    """The last day of the features a churn model is trained on."""
+    return (until - timedelta(days=churn_days)).strftime("%Y%m%d")
+
+
+def _train_on_return(features: DataFrame, later: DataFrame, max_iter: int) -> PipelineModel:
+    """Churn model whose label says who of ``features`` is not among the ``later`` rows."""
+    back = later.select("user_pseudo_id", F.lit(0).alias("gone")).distinct()
+    labelled = churn_matrix(features).join(back, "user_pseudo_id", "left")
+    labelled = labelled.withColumn("is_churned", F.coalesce("gone", F.lit(1)))
+    return fit_classifier(labelled, CHURN_FEATURES, "is_churned", max_iter)
+
+
 def train_churn_on_history(
     history: DataFrame, until: date, churn_days: int, max_iter: int = 100
 ) -> PipelineModel:
@@ -158,13 +171,18 @@ def train_churn_on_history(
     The cut-off is ``churn_days`` before ``until``. A user has churned (1) who was active
     by the cut-off and not between it and ``until``. Both periods are read by day.
     """
-    cutoff = (until - timedelta(days=churn_days)).strftime("%Y%m%d")
-    day = F.col("event_date")
-    features = model_features(history.where(day <= cutoff))
-    back = history.where(day > cutoff).select("user_pseudo_id", F.lit(0).alias("gone")).distinct()
-    labelled = churn_matrix(features).join(back, "user_pseudo_id", "left")
-    labelled = labelled.withColumn("is_churned", F.coalesce("gone", F.lit(1)))
-    return fit_classifier(labelled, CHURN_FEATURES, "is_churned", max_iter)
+    day, last = F.col("event_date"), cut_off(until, churn_days)
+    features = model_features(history.where(day <= last))
+    return _train_on_return(features, history.where(day > last), max_iter)
+
+
+def train_churn_on_parts(
+    totals: DataFrame, facts: DataFrame, until: date, churn_days: int, max_iter: int = 100
+) -> PipelineModel:
+    """As :func:`train_churn_on_history`, from the feature parts of the days."""
+    day, last = F.col("event_date"), cut_off(until, churn_days)
+    features = model_features_of(totals.where(day <= last), facts.where(day <= last))
+    return _train_on_return(features, totals.where(day > last), max_iter)
 
 
 def load_or_train(

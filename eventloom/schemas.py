@@ -16,6 +16,7 @@ from eventloom.functions.params import PARAM_SPECS
 _TYPES: dict[str, T.DataType] = {
     "string": T.StringType(),
     "bigint": T.LongType(),
+    "binary": T.BinaryType(),
     "int": T.IntegerType(),
     "double": T.DoubleType(),
     "date": T.DateType(),
@@ -231,6 +232,38 @@ USER_DAY_FACTS = _schema(
     "event_date string, user_pseudo_id string, kind string, fact string"
 )
 
+# State between daily runs: each user's last session, and the flags decided by each day.
+USER_LAST_SESSION = _schema(
+    "as_of date, user_pseudo_id string, session_date date, ga_session_id bigint"
+)
+
+CHURN_FLAGS = _schema(
+    "decided_on date, user_pseudo_id string, session_date date, ga_session_id bigint"
+)
+
+# Additive parts of the model features per day and user. A fact may be NULL: no session and
+# no page count as one more value.
+FEATURE_DAY_TOTALS = _schema(
+    """
+    event_date string, user_pseudo_id string, total_events bigint,
+    total_page_views bigint, add_to_cart_count bigint, purchase_count bigint,
+    scroll_count bigint, engaged_cnt bigint, outbound_cnt bigint, search_cnt bigint,
+    rows bigint, engagement_rows bigint, engagement_sum double, number_sum double
+    """
+)
+
+FEATURE_DAY_FACTS = _schema(
+    "event_date string, user_pseudo_id string, kind string, fact string"
+)
+
+# Mergeable states per day and user: sketches of what a user saw, and of what is frequent.
+USER_DAY_SKETCHES = _schema(
+    """
+    event_date string, user_pseudo_id string, session binary, view_item binary,
+    purchase binary
+    """
+)
+
 USER_FEATURES = _schema(
     """
     user_pseudo_id string, is_purchaser int, is_repeat_purchaser int,

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from eventloom import schemas
 from eventloom.schemas import as_schema, conform
 from eventloom.sources.guards import matching_paths, path_exists
+from eventloom.sources.scratch import delete_dir
 
 
 class TableSpec(NamedTuple):
@@ -37,6 +38,10 @@ TABLES: dict[str, TableSpec] = {
     "device_channel": TableSpec(schemas.DEVICE_CHANNEL, None),
     "user_day_totals": TableSpec(schemas.USER_DAY_TOTALS, "event_date"),
     "user_day_facts": TableSpec(schemas.USER_DAY_FACTS, "event_date"),
+    "user_last_session": TableSpec(schemas.USER_LAST_SESSION, "as_of", ("user_pseudo_id",)),
+    "churn_flags": TableSpec(schemas.CHURN_FLAGS, "decided_on"),
+    "feature_day_totals": TableSpec(schemas.FEATURE_DAY_TOTALS, "event_date"),
+    "feature_day_facts": TableSpec(schemas.FEATURE_DAY_FACTS, "event_date"),
     "user_features": TableSpec(schemas.USER_FEATURES, None),
     "predictions": TableSpec(schemas.PREDICTIONS, "prediction_date"),
     "prediction_trend": TableSpec(schemas.PREDICTION_TREND, "prediction_date"),
@@ -60,6 +65,8 @@ class Warehouse:
     def read(self, name: str, days: Sequence[Day] | None = None) -> DataFrame:
         """A table in its declared schema; ``days`` prunes partitions before the scan."""
         spec = TABLES[name]
+        if days is not None and not days:
+            return self.spark.createDataFrame([], spec.schema)
         df = self.spark.read.schema(spec.schema).parquet(self.path(name))
         df = df.select(*spec.schema.fieldNames())
         if days is None:
@@ -68,6 +75,23 @@ class Warehouse:
             raise ValueError(f"{name} is not partitioned by day")
         return df.where(F.col(spec.partition).isin(*days))
 
+    def days(self, name: str) -> list[Day]:
+        """Days the table has a folder for, ascending, of the partition column's type.
+
+        Folder names alone tell; no file is opened. A day that was emptied is among them.
+        """
+        spec = TABLES[name]
+        found = matching_paths(self.spark, f"{self.path(name)}/{spec.partition}=*")
+        texts = sorted(path.rsplit("=", 1)[1] for path in found)
+        if isinstance(spec.schema[spec.partition].dataType, T.DateType):
+            return [date.fromisoformat(text) for text in texts]
+        return texts
+
+    def drop_days(self, name: str, days: Sequence[Day]) -> None:
+        """Delete the folders of ``days``."""
+        for day in days:
+            delete_dir(self.spark, self._day_path(name, day))
+
     def exists(self, name: str) -> bool:
         return path_exists(self.spark, self.path(name))
 

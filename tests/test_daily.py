@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from checks.inputs import nested_table
 from eventloom.plans import marts
+from eventloom.plans.churn_state import revise_churn
 from eventloom.plans.daily import ingest_days, refresh_marts, score_day
 from eventloom.sources.warehouse import Warehouse
 from eventloom.streaming.incremental import ingest_new_files
@@ -91,6 +92,95 @@ def test_history_churn_is_stored(spark, sf_dir, warehouse):
     assert channels.exceptAll(warehouse.read("device_channel")).isEmpty()
 
 
+def _sessions(spark, rows):
+    """Session mart rows of (user, day of December or January, session id)."""
+    from datetime import timedelta
+
+    from eventloom.schemas import SESSION_FUNNEL
+
+    empty = {f.name: None for f in SESSION_FUNNEL.fields}
+    made = [
+        empty | {
+            "user_pseudo_id": user, "session_date": date(2020, 12, 1) + timedelta(days=day),
+            "ga_session_id": session, "churn_session_flag": 0,
+        }
+        for user, day, session in rows
+    ]
+    return spark.createDataFrame(made, SESSION_FUNNEL)
+
+
+def test_churn_state_follows_every_order_of_runs(spark, warehouse):
+    """Days in order, a day again, a day emptied, a late day: flags as over all sessions."""
+    rows = [
+        ("a", 0, 1), ("a", 0, 2), ("a", 20, 3), ("a", 21, 4), ("b", 0, 5), ("b", 10, 6),
+        ("b", 40, 7), ("c", 20, 8), ("c", 40, 9), (None, 0, 10), (None, 20, 11),
+    ]
+    runs = [
+        (0, rows), (10, rows), (20, rows), (21, rows), (40, rows), (40, rows),
+        (20, [r for r in rows if r[1] != 20]), (20, rows), (30, [*rows, ("b", 30, 12)]), (0, rows[4:]),
+    ]
+    stored = {}
+    for day, now in runs:
+        stored[day] = [r for r in now if r[1] == day]
+        when = date.fromordinal(date(2020, 12, 1).toordinal() + day)
+        warehouse.replace_days("session_funnel", _sessions(spark, stored[day]), [when])
+        revise_churn(warehouse, [when], 15)
+        every = _sessions(spark, [r for part in stored.values() for r in part])
+        whole = marts.with_history_churn(every, 15)
+        keys = ["user_pseudo_id", "session_date", "ga_session_id", "churn_session_flag"]
+        want = sorted((tuple(r) for r in whole.select(*keys).collect()), key=str)
+        assert sorted(_flags_raw(warehouse), key=str) == want, f"after day {day}"
+    assert any(r[3] for r in _flags_raw(warehouse))
+    assert len(warehouse.days("user_last_session")) <= 3
+
+
+def _flags_raw(warehouse):
+    keys = ["user_pseudo_id", "session_date", "ga_session_id", "churn_session_flag"]
+    return [tuple(r) for r in warehouse.read("session_funnel").select(*keys).collect()]
+
+
+def test_churn_state_reads_new_and_touched_days_only(spark, warehouse, monkeypatch):
+    rows = [("a", day, day) for day in (0, 1, 2, 3)] + [("b", 2, 9), ("b", 30, 10)]
+    days = {d: date.fromordinal(date(2020, 12, 1).toordinal() + d) for d in (0, 1, 2, 3, 30)}
+    asked = []
+    read = Warehouse.read
+
+    def noted(self, name, days=None):
+        asked.append((name, days))
+        return read(self, name, days)
+
+    monkeypatch.setattr(Warehouse, "read", noted)
+    for day, when in days.items():
+        asked.clear()
+        warehouse.replace_days(
+            "session_funnel", _sessions(spark, [r for r in rows if r[1] == day]), [when]
+        )
+        touched = revise_churn(warehouse, [when], 15)
+    assert touched == [days[2]]
+    assert [d for name, d in asked if name == "session_funnel"] == [[days[30]], [days[2]]]
+    assert [d for name, d in asked if name == "user_last_session"] == [[days[3]]]
+    plan = read(warehouse, "session_funnel", [days[30]])._jdf.queryExecution().executedPlan()
+    assert "PartitionFilters: [" in plan.toString() and "2020-12-31" in plan.toString()
+
+
+def test_training_reads_no_events_of_other_days(spark, sf_dir, warehouse, tmp_path, monkeypatch):
+    nested = nested_table(spark, sf_dir)
+    days = sorted(r[0] for r in nested.select("event_date").distinct().collect())
+    ingest_days(warehouse, nested, days)
+    refresh_marts(warehouse, days)
+    asked = []
+    read = Warehouse.read
+
+    def noted(self, name, days=None):
+        asked.append((name, days))
+        return read(self, name, days)
+
+    monkeypatch.setattr(Warehouse, "read", noted)
+    score_day(warehouse, days[-1], str(tmp_path / "models"))
+    assert [d for name, d in asked if name == "raw_events"] == [days[-1:]]
+    assert read(warehouse, "predictions").count() > 0
+
+
 def test_scoring_a_day_without_users(spark, sf_dir, warehouse, tmp_path):
     nested = nested_table(spark, sf_dir)
     ingest_days(warehouse, nested, [DAYS[0], "20210101"])

@@ -137,3 +137,29 @@ def test_no_users(spark):
     row = scoring.prediction_trend(decided, DAY).first().asDict()
     assert row.pop("prediction_date") == DAY
     assert set(row.values()) == {0}
+
+
+def test_features_from_parts_equal_the_direct_ones(flat):
+    """NULL sessions and pages, a session over two days, a user without id."""
+    from eventloom.plans.features import (
+        feature_day_facts,
+        feature_day_totals,
+        model_features,
+        model_features_of,
+    )
+
+    events = flat(
+        {"param_ga_session_id": None, "param_page_location": "p"},
+        {"param_ga_session_id": 5, "param_page_location": None},
+        {"param_ga_session_id": 5, "event_date": "20201202", "param_page_location": "p"},
+        {"param_ga_session_id": None, "event_date": "20201202", "event_name": "purchase"},
+        {"user_pseudo_id": None, "param_engagement_time_msec": 7},
+        {"user_pseudo_id": "v", "event_name": "add_to_cart", "param_outbound": "Yes"},
+        {"user_pseudo_id": "v", "param_percent_scrolled": 90, "param_search_term": "x"},
+    )
+    parts = feature_day_totals(events), feature_day_facts(events)
+    for by in (("user_pseudo_id",), ("user_pseudo_id", "event_date")):
+        direct = sorted(map(str, model_features(events, by=by).collect()))
+        assert sorted(map(str, model_features_of(*parts, by=by).collect())) == direct
+    nobody = events.where("user_pseudo_id = 'nobody'")
+    assert model_features_of(feature_day_totals(nobody), feature_day_facts(nobody)).count() == 0

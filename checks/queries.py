@@ -20,7 +20,7 @@ from checks.inputs import flat_table, nested_table, session_table
 from eventloom.functions import geo_time, labels, scalars
 from eventloom.functions.params import pivot_params
 from eventloom.operators import grouping, ordering
-from eventloom.plans import marts, scoring
+from eventloom.plans import marts, scoring, sketches
 from eventloom.plans.churn_state import revise_churn
 from eventloom.plans.daily import (
     FEATURE_PARTS,
@@ -32,8 +32,15 @@ from eventloom.plans.daily import (
 )
 from eventloom.plans.features import model_features, model_features_of
 from eventloom.plans.flatten import flatten_events
-from eventloom.schemas import PREDICTIONS
-from eventloom.sources.csv_files import load_csv, read_csv_shards, scan_csv, write_csv
+from eventloom.schemas import FUNNEL_DAILY, PREDICTIONS
+from eventloom.sources.csv_files import (
+    load_csv,
+    read_csv_shards,
+    scan_csv,
+    with_file_positions,
+    write_csv,
+    write_sorted_csv,
+)
 from eventloom.sources.guards import MissingInput, require_path, require_rows
 from eventloom.sources.run_log import log_run, run_metrics
 from eventloom.sources.scratch import new_dir
@@ -376,6 +383,21 @@ def approx_top_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def frequent_values_from_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many sessions have the values that merged states of all days name."""
+    sessions = session_table(spark, sf_dir)
+    found = None
+    for column in ("session_device", "session_traffic_source"):
+        states = written_days(sketches.frequent_day_states(sessions, column), "session_date")
+        top = sketches.most_frequent_from_days(states, "top").withColumnRenamed(USER, "u")
+        counts = sessions.groupBy(USER, column).agg(F.count("*").alias(column + "_sessions"))
+        same = (F.col("u") == F.col(USER)) & F.col("top").eqNullSafe(F.col(column))
+        named = top.join(counts, same).select(USER, column + "_sessions")
+        found = named if found is None else found.join(named, USER)
+    return found
+
+
 @_query
 def first_value_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.user_session_totals(session_table(spark, sf_dir)).select(
@@ -584,6 +606,84 @@ def t6_user_features_from_partials(spark: SparkSession, sf_dir: str) -> DataFram
     return marts.user_features_of(totals, session_table(spark, sf_dir))
 
 
+# -- mergeable states ------------------------------------------------------------------
+
+
+def written_days(rows: DataFrame, day: str) -> DataFrame:
+    """Rows stored by day and read back, as a later run finds them."""
+    path = new_dir(rows.sparkSession, "states")
+    rows.write.partitionBy(day).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+@_query
+def t6_distinct_from_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals per user from stored sketches; are the counts as close as they claim?"""
+    flat = flat_table(spark, sf_dir)
+    states = written_days(sketches.user_day_sketches(marts.user_day_facts(flat)), "event_date")
+    about = sketches.user_event_totals_from_sketches(marts.user_day_totals(flat), states)
+    counted = tuple(marts.FACT_COUNTS)
+    exact = marts.user_event_totals(flat).select(
+        F.col(USER).alias("u"), *[F.col(n).alias(f"exact_{n}") for n in counted]
+    )
+    rows = about.join(exact, F.col(USER).eqNullSafe(F.col("u")))
+    close = [
+        sketches.close_enough(F.col(n), F.col(f"exact_{n}")).alias(f"{n}_close") for n in counted
+    ]
+    return rows.select(USER, "total_events", "total_page_views", *close)
+
+
+@_query
+def trailing_distinct_from_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users and sessions of the seven days up to each day, from states, beside exact counts."""
+    flat = flat_table(spark, sf_dir)
+    states = written_days(sketches.day_sketches(flat), "event_date")
+    about = sketches.trailing_counts(states, 7)
+    day = scalars.parse_day(F.col("event_date"))
+    seen = flat.select(
+        day.alias("day"), USER, F.col("param_ga_session_id").alias("session")
+    ).distinct()
+    until = flat.select("event_date", day.alias("until")).distinct()
+    exact = (
+        seen.withColumn("until", F.explode(F.sequence("day", F.date_add("day", 6))))
+        .join(until, "until")
+        .groupBy("event_date")
+        .agg(
+            F.count_distinct(USER).alias("exact_users"),
+            F.count_distinct(F.struct(USER, "session")).alias("pairs"),
+            F.count_distinct(F.when(F.col("session").isNull(), F.struct(F.lit(1), USER))).alias("none"),
+        )
+    )
+    exact_sessions = F.col("pairs") - F.col("none")
+    return exact.join(about, "event_date").select(
+        "event_date", "exact_users", exact_sessions.alias("exact_sessions"),
+        sketches.close_enough(F.col("users"), F.col("exact_users")).alias("users_close"),
+        sketches.close_enough(F.col("sessions"), exact_sessions).alias("sessions_close"),
+    )
+
+
+@_query
+def returning_users_from_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users before December, since, and in both: intersected states beside exact counts."""
+    flat = flat_table(spark, sf_dir)
+    states = written_days(sketches.day_sketches(flat), "event_date")
+    about = sketches.returning_users(states, "20201201")
+    late = F.max((F.col("event_date") >= "20201201").cast("int")).alias("late")
+    early = F.max((F.col("event_date") < "20201201").cast("int")).alias("early")
+    exact = flat.groupBy(USER).agg(late, early).where(F.col(USER).isNotNull()).agg(
+        F.sum("early").alias("before"), F.sum("late").alias("since"),
+        F.count_if(F.col("early") + F.col("late") == 2).alias("returned"),
+    )
+    renamed = about.toDF(*[f"about_{c}" for c in about.columns])
+    both = exact.join(F.broadcast(renamed))
+    # The error of an intersection follows the larger of the two sets.
+    bound = F.greatest(F.lit(1.0), 3 * sketches.ERROR * F.greatest("before", "since"))
+    return both.select(
+        *exact.columns,
+        *[(F.abs(F.col(f"about_{c}") - F.col(c)) <= bound).alias(f"{c}_close") for c in exact.columns],
+    )
+
+
 # -- model features and scoring --------------------------------------------------------
 
 
@@ -821,7 +921,8 @@ def history_churn_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = _all_days(flat_table(spark, sf_dir))
     early = [d for d in days if d <= "20201205"]
     warehouse = _ingested(spark, sf_dir, early, days[len(early) :], churn="history")
-    return _shown(warehouse.read("session_funnel"))
+    stored = warehouse.read("session_funnel")
+    return _shown(stored.drop("session_engagement_time"))
 
 
 @_query
@@ -851,6 +952,33 @@ def _all_days(flat: DataFrame) -> list[str]:
     return sorted(r[0] for r in flat.select("event_date").distinct().collect())
 
 
+@_query
+def t4_sorted_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily funnel as files in the order of day and step; every row with its place."""
+    path = new_dir(spark, "sorted")
+    funnel = marts.funnel_daily(session_table(spark, sf_dir))
+    write_sorted_csv(funnel.repartition(5), path, "event_date", "funnel_step")
+    rows = spark.read.schema(FUNNEL_DAILY).option("header", True).csv(path)
+    placed = with_file_positions(rows)
+    return _shown(placed.select("position", "event_date", "funnel_step", "session_cnt"))
+
+
+@_query
+def key_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User keys read as whole numbers, fractions and decimals, as text again; NULL stays."""
+    flat = flat_table(spark, sf_dir)
+    user = F.when(F.col(USER).cast("long") % 7 != 0, F.col(USER).cast("long"))
+    wide = user * 1_000_003 + 12_000_000_000
+    keys = {
+        "whole": (user, T.LongType()),
+        "double": (wide.cast("double"), T.DoubleType()),
+        "half": (user + F.lit(0.5), T.DoubleType()),
+        "decimal": ((user / 4).cast("decimal(20,6)"), T.DecimalType(20, 6)),
+    }
+    texts = [scalars.key_text(key, kind).alias(name) for name, (key, kind) in keys.items()]
+    return flat.groupBy(USER).agg(F.count("*").alias("n")).select(USER, "n", *texts)
+
+
 @_query
 def csv_scan_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions written with their columns in another order."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DAY_FORMAT = "yyyyMMdd"
 
@@ -54,3 +55,22 @@ def count_distinct_with_null(column: Column) -> Column:
     return F.count_distinct(column) + F.coalesce(
         F.max(column.isNull().cast("int")), F.lit(0)
     )
+
+
+def key_text(key: Column, kind: T.DataType) -> Column:
+    """Text of a key of any type; NULL stays NULL.
+
+    A key read as a number keeps its digits: whole numbers have no fraction and no exponent,
+    whatever their size, and decimals no trailing zeros. NaN is no key.
+    """
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        number = key.cast("double")
+        # Doubles of 2^53 and more are whole and fit a decimal exactly up to 38 digits.
+        whole = F.when(F.abs(number) < 1e38, number.cast("decimal(38,0)"))
+        digits = F.when(number == F.floor(number), whole.cast("string"))
+        return F.when(~F.isnan(number), F.coalesce(digits, number.cast("string")))
+    if isinstance(kind, T.DecimalType):
+        plain = key.cast("string")
+        short = F.regexp_replace(plain, r"0+$", "")
+        return F.when(plain.contains("."), F.regexp_replace(short, r"\.$", "")).otherwise(plain)
+    return key.cast("string")

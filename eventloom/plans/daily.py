@@ -22,6 +22,7 @@ from eventloom.plans.scoring import (
     train_purchase,
     with_decisions,
 )
+from eventloom.plans.sketches import user_day_sketches, user_event_totals_from_sketches
 from eventloom.sources.run_log import log_run
 from eventloom.sources.warehouse import Warehouse
 
@@ -73,6 +74,7 @@ def refresh_marts(
     churn: Literal["daily", "history"] = "daily",
     reference_date: date = marts.DEFAULT_REFERENCE_DATE,
     gap_days: int = marts.DEFAULT_GAP_DAYS,
+    distinct: Literal["exact", "sketch"] = "exact",
 ) -> None:
     """Per-day marts for ``days``, then the marts over the whole history.
 
@@ -84,7 +86,13 @@ def refresh_marts(
     The marts over the history are added up from parts per day, so that of the events only
     ``days`` are read. With ``stored`` the user features are computed from that table of
     accumulated events instead, all of it.
+
+    With ``distinct="sketch"`` a state per user and day stands for the sessions, items and
+    purchases seen, and the user features count them approximately; no fact of older days
+    is read or shuffled.
     """
+    if distinct not in ("exact", "sketch"):
+        raise ValueError(f"unknown way to count distinct values {distinct!r}")
     flat = warehouse.read("raw_events", days)
     dates = [as_date(d) for d in days]
     _store(warehouse, "daily_summary", marts.daily_summary(flat), days, mode)
@@ -104,11 +112,18 @@ def refresh_marts(
     )
     if stored is None:
         _store(warehouse, "user_day_totals", marts.user_day_totals(flat), days, mode)
-        _store(warehouse, "user_day_facts", marts.user_day_facts(flat), days, mode)
         store_feature_parts(warehouse, flat, days, mode)
-        totals = marts.user_event_totals_from_days(
-            warehouse.read("user_day_totals"), warehouse.read("user_day_facts")
-        )
+        if distinct == "sketch":
+            sketches = user_day_sketches(marts.user_day_facts(flat))
+            _store(warehouse, "user_day_sketches", sketches, days, mode)
+            totals = user_event_totals_from_sketches(
+                warehouse.read("user_day_totals"), warehouse.read("user_day_sketches")
+            )
+        else:
+            _store(warehouse, "user_day_facts", marts.user_day_facts(flat), days, mode)
+            totals = marts.user_event_totals_from_days(
+                warehouse.read("user_day_totals"), warehouse.read("user_day_facts")
+            )
     else:
         totals = marts.user_event_totals(warehouse.read(stored))
     sessions = warehouse.read("session_funnel")

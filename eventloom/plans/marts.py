@@ -503,24 +503,24 @@ def user_event_totals(stored: DataFrame, dedupe_events: bool = False) -> DataFra
     facts = user_facts(stored).select(
         USER, *[F.when(F.col("event_name") == e, one).alias(e) for e in ("view_item", "purchase")]
     )
-    return _added_up(per_session.unionByName(facts, allowMissingColumns=True))
+    return added_up(per_session.unionByName(facts, allowMissingColumns=True))
 
 
 # Output column -> kind of fact it counts.
-_FACT_COUNTS = {
+FACT_COUNTS = {
     "total_sessions": "session",
     "unique_items_viewed": "view_item",
     "distinct_purchase_count": "purchase",
 }
 
 
-def _added_up(parts: DataFrame) -> DataFrame:
+def added_up(parts: DataFrame) -> DataFrame:
     """Sums per user of the measures and of the ones that stand for facts."""
     totals = parts.groupBy(USER).agg(
         *[F.sum(n).alias(n) for n in _additive_user_measures()],
         *[
             F.coalesce(F.sum(kind), F.lit(0)).alias(name)
-            for name, kind in _FACT_COUNTS.items()
+            for name, kind in FACT_COUNTS.items()
         ],
     )
     known = F.col(USER).isNotNull()
@@ -562,9 +562,9 @@ def user_event_totals_from_days(totals: DataFrame, facts: DataFrame) -> DataFram
     one = F.lit(1).cast("long")
     once = facts.select(USER, "kind", "fact").distinct()
     ones = once.select(
-        USER, *[F.when(F.col("kind") == kind, one).alias(kind) for kind in _FACT_COUNTS.values()]
+        USER, *[F.when(F.col("kind") == kind, one).alias(kind) for kind in FACT_COUNTS.values()]
     )
-    return _added_up(totals.drop("event_date").unionByName(ones, allowMissingColumns=True))
+    return added_up(totals.drop("event_date").unionByName(ones, allowMissingColumns=True))
 
 
 def user_session_totals(sessions: DataFrame) -> DataFrame:

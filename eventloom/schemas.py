@@ -256,7 +256,9 @@ FEATURE_DAY_FACTS = _schema(
     "event_date string, user_pseudo_id string, kind string, fact string"
 )
 
-# Mergeable states per day and user: sketches of what a user saw, and of what is frequent.
+# Mergeable states per day, and per day and user.
+DAY_SKETCHES = _schema("event_date string, users binary, buyers binary, sessions binary")
+
 USER_DAY_SKETCHES = _schema(
     """
     event_date string, user_pseudo_id string, session binary, view_item binary,

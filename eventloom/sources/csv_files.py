@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,35 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("emptyValue", '""').csv(path)
 
 
+def write_sorted_csv(df: DataFrame, path: str, *order: str) -> None:
+    """CSV files that read one after the other, by name, are sorted by ``order``.
+
+    The rows are dealt out by ranges of ``order``, so every task sorts and writes a range of
+    its own and the files are numbered as the ranges are. NULLs come last.
+    """
+    write_csv(df.orderBy(*[F.col(c).asc_nulls_last() for c in order]), path)
+
+
+def with_file_positions(rows: DataFrame, name: str = "position") -> DataFrame:
+    """Number the rows of files read from 1, in the order of file names and within files.
+
+    ``rows`` is a scan. Rows are numbered per file; one short row per file adds up how many
+    rows the files before it have.
+    """
+    columns = rows.columns
+    placed = rows.select(
+        "*",
+        F.col("_metadata.file_name").alias("_file"),
+        F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("_at"),
+    )
+    in_file = F.row_number().over(Window.partitionBy("_file").orderBy("_at"))
+    sizes = placed.groupBy("_file").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select("_file", F.coalesce(before, F.lit(0)).alias("_before"))
+    numbered = placed.withColumn("_row", in_file).join(offsets, "_file")
+    return numbered.select(*columns, (F.col("_before") + F.col("_row")).alias(name))
+
+
 def _reader(spark: SparkSession, multi_line: bool):
     """A file is split among tasks unless its texts may hold line ends (``multi_line``)."""
     return (

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from eventloom.functions.params import PARAM_SPECS, pivot_params
 from eventloom.plans.flatten import flatten_events, one_row_per_event
-from eventloom.schemas import FLAT_EVENT, conform
+from eventloom.schemas import FLAT_EVENT, NESTED_EVENT, conform
 
 ITEM_A = {"item_name": "a", "price": 2.0, "quantity": 3}
 ITEM_B = {"item_name": "b", "price": 1.0, "quantity": 1}
@@ -147,3 +147,30 @@ def test_only_needed_columns_are_read(spark, nested, tmp_path):
     assert "event_params" not in read
     assert "PartitionFilters: [isnotnull(event_date" in plan
     assert "hashpartitioning" not in plan
+
+
+@pytest.mark.parametrize("percent", [0, 0.1, 10, 50])
+def test_merging_by_digest_equals_grouping_by_all_columns(spark, sf_dir, percent):
+    """Repeats of whole events, some with other parameters."""
+    from checks.inputs import nested_table
+    from eventloom.plans import flatten
+    from eventloom.schemas import EVENT_FIELDS, ITEM_FIELDS, PARAM_COLUMNS
+
+    nested = nested_table(spark, sf_dir)
+    chosen = F.pmod(F.xxhash64("event_bundle_sequence_id"), F.lit(1000)) < percent * 10
+    again = nested.where(chosen).withColumn("event_params", F.slice("event_params", 1, 3))
+    nested = nested.union(nested.where(chosen)).union(again.select(*nested.columns))
+    rows = flatten._expand_items(flatten._pivoted(nested), "items")
+    whole = rows.groupBy(*EVENT_FIELDS, *ITEM_FIELDS).agg(
+        *[F.expr(f"max({p}) AS {p}") for p in PARAM_COLUMNS]
+    )
+    merged = flatten._regrouped(nested)
+    assert merged.columns == whole.columns and merged.count() == whole.count()
+    assert merged.exceptAll(whole).isEmpty()
+
+
+def test_digests_see_which_columns_are_null(nested):
+    """The same text in one column or in its neighbour is not the same event."""
+    empty = dict.fromkeys(NESTED_EVENT["geo"].dataType.fieldNames())
+    places = [empty | {"country": "x"}, empty | {"region": "x"}, empty | {"region": "x"}]
+    assert flatten_events(nested(*[{"geo": place} for place in places])).count() == 2

@@ -19,13 +19,19 @@ from eventloom.sources.scratch import delete_scratch
 PARTS = 64
 
 
+def with_least(rows: DataFrame, key: str, value: str, other: str, name: str) -> DataFrame:
+    """``rows`` with the least ``value`` of each ``key``, its rows dealt out by ``other``."""
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64(other), F.lit(PARTS)))
+    per_part = dealt.groupBy(key, "part").agg(F.min(value).alias("low"))
+    least = per_part.groupBy(key).agg(F.min("low").alias(name))
+    parts = per_part.select(key, "part").join(least, key)
+    return dealt.join(parts, [key, "part"]).drop("part")
+
+
 def _with_least(links: DataFrame) -> DataFrame:
     """(u, v, m) of all links; m is the least node that u is linked with, or u itself."""
-    dealt = links.withColumn("part", F.pmod(F.xxhash64("v"), F.lit(PARTS)))
-    per_part = dealt.groupBy("u", "part").agg(F.min("v").alias("low"))
-    least = per_part.groupBy("u").agg(F.least(F.min("low"), F.col("u")).alias("m"))
-    parts = per_part.join(least, "u").select("u", "part", "m")
-    return dealt.join(parts, ["u", "part"]).select("u", "v", "m")
+    found = with_least(links, "u", "v", "v", "low")
+    return found.select("u", "v", F.least("low", "u").alias("m"))
 
 
 def _large_star(links: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.llm.common import U64, mix, utf8_buffer, word_hashes, word_spans, written
-from eventloom.llm.components import components
+from eventloom.llm.components import components, with_least
 from eventloom.llm.exchange import (
     ANSWERS,
     QUESTIONS,
@@ -495,12 +495,13 @@ def set_classes(
         if bad.isEmpty():
             break
 
-    # A class's id is the least of its documents' ids; a class is of one set or several.
-    named = equal.join(
-        classes.select(F.col("node").alias("set"), "label"), "set", "left"
-    ).withColumn("label", F.coalesce("label", "set"))
-    per_class = named.groupBy("label").agg(F.min("least_id").alias("class"))
-    named = named.join(per_class, "label").select(*key, "class")
+    # A class's id is the least of its documents' ids; a set without links is its own class.
+    linked = equal.join(classes.select(F.col("node").alias("set"), "label"), "set")
+    linked = with_least(linked, "label", "least_id", "set", "class").select(
+        "set", "class", F.lit(True).alias("linked")
+    )
+    label = F.when(F.col("linked"), F.col("class")).otherwise(F.col("least_id"))
+    named = equal.join(linked, "set", "left").select(*key, label.alias("class"))
     empty = F.when(F.col("n_shingles") == 0, F.col("doc_id"))
     final = sets.select("doc_id", *key).join(named, key, "left").select(
         "doc_id", "n_shingles", F.coalesce(empty, "class").alias("component_id")

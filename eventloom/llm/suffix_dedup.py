@@ -1,22 +1,23 @@
-"""Repeated byte strings removed by bucket-pointer refinement of suffix positions.
+"""Repeated byte strings removed by buckets of suffix positions that are told apart in depth.
 
 The question for a position is whether the ``length`` bytes that start there also start
-earlier. Positions are sorted into buckets by their first bytes, and buckets are refined by
-what the buckets of later offsets say, until they tell strings of full length apart:
+earlier. Positions are in buckets by a hash of their first bytes, at doubling depths. No
+bucket is sorted by the buckets of later offsets, as bucket-pointer refinement does: a
+bucket's name follows from the bytes alone, so tasks need not exchange names.
 
 * The bucket of a position at depth 2q follows from its bucket at depth q and that of the
   position q later, so each depth reuses the one before (1, 2, 4, ... 32 bytes).
 * Each string holds its least 32-gram. A run of neighbouring positions whose strings share
   the same least 32-gram is placed in that bucket together. A bucket of one run only needs
   no refinement: none of its strings occurs again.
-* Runs of larger buckets are refined by the full-depth buckets of their first and last
+* Runs of larger buckets are compared by the full-depth buckets of their first and last
   position, which together hold all bytes of the run's strings. A run that occurs earlier
   as a whole is settled, and so is every string in it. This settles the inside of copies.
 * The positions of the other runs in large buckets, the first of their kind or the rims of
-  copies, are refined to full depth one by one and compared with the earliest like them.
+  copies, are taken to full depth one by one and compared with the earliest like them.
 
-Bucket pointers are 64-bit hashes, so every document finds its own; Spark brings equal
-pointers together (96 bits tell runs apart). Every position of every text takes part.
+Buckets are 64-bit hashes, so every document finds its own; Spark brings equal ones
+together (96 bits tell runs apart). Every position of every text takes part.
 """
 
 from __future__ import annotations

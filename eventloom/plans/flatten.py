@@ -38,6 +38,26 @@ def _expand_items(events: DataFrame, items: str) -> DataFrame:
     return expanded.selectExpr(*rest, *[f"item.{f}" for f in ITEM_FIELDS])
 
 
+def with_row_digests(flat: DataFrame) -> DataFrame:
+    """Flat events with ``digest_1`` and ``digest_2`` of the event and item columns, which
+    rows that merge share, and ``params``, a hash of the parameter columns."""
+    params = _digest(PARAM_COLUMNS)[0].alias("params")
+    return flat.select("*", *_digest([*EVENT_FIELDS, *ITEM_FIELDS]), params)
+
+
+def merge_flat(flat: DataFrame) -> DataFrame:
+    """Flat events with equal rows merged, as :func:`flatten_events` would have done.
+
+    What follows from the event columns is the same in rows that merge.
+    """
+    rest = [c for c in flat.columns if c not in PARAM_COLUMNS]
+    merged = flat.groupBy(*_digest([*EVENT_FIELDS, *ITEM_FIELDS])).agg(
+        F.first(F.struct(*rest)).alias("row"),
+        *[F.expr(f"max({p}) AS {p}") for p in PARAM_COLUMNS],
+    )
+    return merged.select("row.*", *PARAM_COLUMNS).select(*flat.columns)
+
+
 def _digest(columns: Sequence[str]) -> list[Column]:
     """128 bits that tell rows apart by the values of ``columns``.
 

@@ -256,6 +256,11 @@ FEATURE_DAY_FACTS = _schema(
     "event_date string, user_pseudo_id string, kind string, fact string"
 )
 
+# Which event rows a day holds: a digest of event and item columns and one of parameters.
+EVENT_DIGESTS = _schema(
+    "event_date string, digest_1 bigint, digest_2 bigint, params bigint"
+)
+
 # Mergeable states per day, and per day and user.
 DAY_SKETCHES = _schema("event_date string, users binary, buyers binary, sessions binary")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -57,24 +58,50 @@ def _reader(spark: SparkSession, multi_line: bool):
     )
 
 
+_BLOCK = 4 << 20  # files up to this size are read through for their first line
+_AT_ONCE = 64  # larger files asked for their first line in one job
+
+
+def _first_lines(spark: SparkSession, small: Sequence[str], large: Sequence[str]):
+    """(path, first line) of files.
+
+    Small files are scanned together. Of a large file a limit of one row reads no more than a
+    buffer: the scan stops there.
+    """
+    found = []
+    if small:
+        lines = spark.read.text(list(small)).select(
+            F.col("_metadata.file_path").alias("path"),
+            F.struct(
+                "_metadata.file_block_start", F.monotonically_increasing_id().alias("n")
+            ).alias("at"),
+            "value",
+        )
+        found += lines.groupBy("path").agg(F.min_by("value", "at").alias("header")).collect()
+    for k in range(0, len(large), _AT_ONCE):
+        frames = [
+            spark.read.text(path).limit(1).select(F.lit(path).alias("path"), "value")
+            for path in large[k : k + _AT_ONCE]
+        ]
+        found += reduce(DataFrame.unionAll, frames).collect()
+    return found
+
+
 def _files_by_header(spark: SparkSession, pattern: str) -> dict[str, list[str]]:
-    """Paths of the files by header line, found by a Spark job.
+    """Paths of the files by header line, from at most a block of each file.
 
-    Each task keeps the first line it sees of a file, and of those the one at the file's
-    beginning counts. A path per file and a line per distinct header reach the driver.
+    A path and a header line per file reach the driver. Empty files are left out.
     """
     if not path_exists(spark, pattern):
         return {}
-    lines = spark.read.text(pattern).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.struct(
-            "_metadata.file_block_start", F.monotonically_increasing_id().alias("n")
-        ).alias("at"),
-        "value",
-    )
-    first = lines.groupBy("path").agg(F.min_by("value", "at").alias("header"))
-    groups = first.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-    return {r.header.rstrip("\r"): r.paths for r in groups.orderBy("header").collect()}
+    files = spark.read.format("binaryFile").load(pattern).select("path", "length")
+    sizes = {r.path: r.length for r in files.where("length > 0").collect()}
+    small = sorted(path for path, size in sizes.items() if size <= _BLOCK)
+    large = sorted(path for path, size in sizes.items() if size > _BLOCK)
+    by_header: dict[str, list[str]] = {}
+    for path, header in _first_lines(spark, small, large):
+        by_header.setdefault(header.rstrip("\r"), []).append(path)
+    return {header: sorted(paths) for header, paths in sorted(by_header.items())}
 
 
 def read_csv_shards(

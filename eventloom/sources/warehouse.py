@@ -38,6 +38,7 @@ TABLES: dict[str, TableSpec] = {
     "device_channel": TableSpec(schemas.DEVICE_CHANNEL, None),
     "user_day_totals": TableSpec(schemas.USER_DAY_TOTALS, "event_date"),
     "user_day_facts": TableSpec(schemas.USER_DAY_FACTS, "event_date"),
+    "event_digests": TableSpec(schemas.EVENT_DIGESTS, "event_date"),
     "user_day_sketches": TableSpec(schemas.USER_DAY_SKETCHES, "event_date"),
     "day_sketches": TableSpec(schemas.DAY_SKETCHES, "event_date"),
     "user_last_session": TableSpec(schemas.USER_LAST_SESSION, "as_of", ("user_pseudo_id",)),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import Literal
 
 from pyspark.sql import DataFrame
 
@@ -11,6 +12,7 @@ from eventloom.plans.flatten import Merge
 from eventloom.schemas import NESTED_EVENT
 from eventloom.sources.guards import path_exists
 from eventloom.sources.warehouse import Warehouse
+from eventloom.streaming.merging import index_days, is_indexed, merge_events
 
 
 def touched_days(batch: DataFrame) -> list[str]:
@@ -25,6 +27,7 @@ def ingest_new_files(
     merge: Merge = "regroup",
     refresh: Callable[[Warehouse, list[str]], None] | None = refresh_marts,
     max_files_per_batch: int | None = None,
+    late: Literal["reread", "merge"] = "reread",
 ) -> list[str]:
     """Process all files that arrived in ``landing`` since the last call, then return.
 
@@ -35,9 +38,15 @@ def ingest_new_files(
     batches touch is flattened by each, but the marts are refreshed once, at the end:
     ``refresh(warehouse, days)``, with options bound by the caller, or None for no refresh.
 
+    With ``late="merge"`` a batch reads its own files and the digests of the stored rows of
+    their days, and adds what is new (:mod:`eventloom.streaming.merging`). A batch that runs
+    again after a failure, or meets a stored day without digests, reads its days whole.
+
     A batch notes its days beside the checkpoint before it is committed, and the notes go
     once the marts are refreshed, so a run that fails in between is made good by the next.
     """
+    if late not in ("reread", "merge"):
+        raise ValueError(f"unknown way to take late files {late!r}")
     spark = warehouse.spark
     pending = f"{checkpoint.rstrip('/')}-pending-days"
     if path_exists(spark, landing) and not path_exists(spark, f"{landing}/event_date=*"):
@@ -48,10 +57,18 @@ def ingest_new_files(
         days = touched_days(batch)
         if not days:
             return
+        note = f"{pending}/batch={number}"
+        again = path_exists(spark, note)
+        # The note comes first: a batch that finds its own note broke off before.
+        noted = spark.createDataFrame([(day,) for day in days], "day string").coalesce(1)
+        noted.write.mode("overwrite").parquet(note)
+        if late == "merge" and not again and is_indexed(warehouse, days):
+            merge_events(warehouse, batch, days, merge)
+            return
         nested = spark.read.schema(NESTED_EVENT).parquet(landing)
         ingest_days(warehouse, nested, days, merge)
-        noted = spark.createDataFrame([(day,) for day in days], "day string").coalesce(1)
-        noted.write.mode("overwrite").parquet(f"{pending}/batch={number}")
+        if late == "merge":
+            index_days(warehouse, days)
 
     reader = spark.readStream.schema(NESTED_EVENT)
     if max_files_per_batch is not None:

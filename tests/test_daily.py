@@ -218,6 +218,76 @@ def test_late_file_gives_the_result_of_one_run(spark, sf_dir, tmp_path):
     assert snapshot(stream, "raw_events", *MARTS) == snapshot(once, "raw_events", *MARTS)
 
 
+def test_late_files_are_merged_by_digest(spark, sf_dir, tmp_path, monkeypatch):
+    """A late file with new rows, rows that are there, and rows with other parameters."""
+    from eventloom.streaming import merging
+
+    nested = nested_table(spark, sf_dir).where(F.col("event_date").isin(*DAYS))
+    early = F.col("event_bundle_sequence_id") % 2 == 0
+    other = nested.where(early & (F.col("event_date") == DAYS[1])).withColumn(
+        "event_params", F.slice("event_params", 1, 2)
+    )
+    parts = [
+        nested.where(early),
+        nested.where(~early & (F.col("event_date") == DAYS[0])).union(
+            nested.where(early & (F.col("event_date") == DAYS[0]))
+        ),
+        nested.where(~early).union(other.select(*nested.columns)),
+    ]
+    landing, checkpoint = str(tmp_path / "landing"), str(tmp_path / "checkpoint")
+    stream = Warehouse(spark, str(tmp_path / "stream"))
+    rewritten = []
+    merge_events = merging.merge_events
+
+    def noted(*args):
+        rewritten.append(merge_events(*args))
+
+    monkeypatch.setattr("eventloom.streaming.incremental.merge_events", noted)
+    asked = []
+    read = Warehouse.read
+
+    def reading(self, name, days=None):
+        asked.append((name, days))
+        return read(self, name, days)
+
+    for part in parts:
+        part.write.mode("append").partitionBy("event_date").parquet(landing)
+        monkeypatch.setattr(Warehouse, "read", reading if part is parts[1] else read)
+        ingest_new_files(stream, landing, checkpoint, refresh=None, late="merge")
+    assert rewritten == [[], [], [DAYS[1]]] or rewritten[-2:] == [[], [DAYS[1]]]
+    # The second file brought rows of one day: its digests were read, none of its events.
+    assert ("event_digests", [DAYS[0]]) in asked and "raw_events" not in {n for n, _ in asked}
+    once = Warehouse(spark, str(tmp_path / "once"))
+    ingest_days(once, spark.read.schema(nested.schema).parquet(landing), DAYS)
+    assert snapshot(stream, "raw_events") == snapshot(once, "raw_events")
+
+
+def test_a_batch_that_broke_off_reads_its_days_whole(spark, sf_dir, tmp_path, monkeypatch):
+    """The merge stops after half of its writes; the same batch runs again."""
+    nested = nested_table(spark, sf_dir).where(F.col("event_date").isin(*DAYS))
+    early = F.col("event_bundle_sequence_id") % 2 == 0
+    landing, checkpoint = str(tmp_path / "landing"), str(tmp_path / "checkpoint")
+    stream = Warehouse(spark, str(tmp_path / "stream"))
+    nested.where(early).write.partitionBy("event_date").parquet(landing)
+    ingest_new_files(stream, landing, checkpoint, refresh=None, late="merge")
+    nested.where(~early).write.mode("append").partitionBy("event_date").parquet(landing)
+    append = Warehouse.append
+
+    def broken(self, name, df):
+        append(self, name, df)
+        if name == "raw_events":
+            raise RuntimeError("lost")
+
+    monkeypatch.setattr(Warehouse, "append", broken)
+    with pytest.raises(Exception, match="lost"):
+        ingest_new_files(stream, landing, checkpoint, refresh=None, late="merge")
+    monkeypatch.setattr(Warehouse, "append", append)
+    ingest_new_files(stream, landing, checkpoint, refresh=None, late="merge")
+    once = Warehouse(spark, str(tmp_path / "once"))
+    ingest_days(once, nested, DAYS)
+    assert snapshot(stream, "raw_events") == snapshot(once, "raw_events")
+
+
 def test_marts_are_refreshed_once_for_all_batches(spark, sf_dir, tmp_path):
     nested = nested_table(spark, sf_dir).where(F.col("event_date").isin(*DAYS))
     landing, checkpoint = str(tmp_path / "landing"), str(tmp_path / "checkpoint")

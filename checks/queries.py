@@ -33,6 +33,7 @@ from eventloom.plans.daily import (
 from eventloom.plans.features import model_features, model_features_of
 from eventloom.plans.flatten import flatten_events
 from eventloom.schemas import FUNNEL_DAILY, PREDICTIONS
+from eventloom.sources.bucketed import UserTables
 from eventloom.sources.csv_files import (
     load_csv,
     read_csv_shards,
@@ -1123,3 +1124,30 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     funnel = warehouse.read("funnel_daily")
     return _shown(funnel.select("event_date", "funnel_step", "session_cnt", "drop_off_cnt"))
+
+
+@_query
+def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of files, the second with rows of the first again, merged by digests."""
+    landing, checkpoint = new_dir(spark, "landing"), new_dir(spark, "stream")
+    warehouse = Warehouse(spark, new_dir(spark, "warehouse"))
+    nested = nested_table(spark, sf_dir)
+    third = F.pmod(F.col("event_bundle_sequence_id"), F.lit(3))
+    for chosen, refresh in ((third < 2, None), (third > 0, refresh_marts)):
+        nested.where(chosen).write.mode("append").partitionBy("event_date").parquet(landing)
+        ingest_new_files(warehouse, landing, checkpoint, refresh=refresh, late="merge")
+    return _shown(warehouse.read("funnel_daily"))
+
+
+@_query
+def t6_user_features_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User features from parts and sessions that lie together by user."""
+    flat = flat_table(spark, sf_dir)
+    tables = UserTables(spark, new_dir(spark, "by-user"))
+    tables.replace_days("user_day_totals", marts.user_day_totals(flat))
+    tables.replace_days("user_day_facts", marts.user_day_facts(flat))
+    tables.replace_days("session_funnel", session_table(spark, sf_dir))
+    totals = marts.user_event_totals_by_user(
+        tables.read("user_day_totals"), tables.read("user_day_facts")
+    )
+    return marts.user_features_of(totals, tables.read("session_funnel"))

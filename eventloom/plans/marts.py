@@ -567,6 +567,29 @@ def user_event_totals_from_days(totals: DataFrame, facts: DataFrame) -> DataFram
     return added_up(totals.drop("event_date").unionByName(ones, allowMissingColumns=True))
 
 
+def user_event_totals_by_user(totals: DataFrame, facts: DataFrame) -> DataFrame:
+    """As :func:`user_event_totals_from_days`, for parts that lie together by user.
+
+    Both sides are added up where they lie and joined on the user, so tables bucketed by user
+    are not shuffled. A user's facts come from the events that gave the user's totals.
+    """
+    once = facts.select(USER, "kind", "fact").distinct()
+    counted = once.groupBy(USER).agg(
+        *[F.count_if(F.col("kind") == kind).alias(kind) for kind in FACT_COUNTS.values()]
+    )
+    sums = totals.groupBy(USER).agg(*[F.sum(n).alias(n) for n in _additive_user_measures()])
+    known = F.col(USER).isNotNull()
+    joined = sums.join(counted, USER, "left").select(
+        USER,
+        *[F.when(known, F.col(n)).alias(n) for n in _additive_user_measures()],
+        *[
+            F.when(known, F.coalesce(kind, F.lit(0))).alias(name)
+            for name, kind in FACT_COUNTS.items()
+        ],
+    )
+    return joined
+
+
 def user_session_totals(sessions: DataFrame) -> DataFrame:
     """First and last visit, active days and acquisition channel per user."""
     return sessions.groupBy(USER).agg(

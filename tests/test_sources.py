@@ -167,6 +167,23 @@ def test_one_file_is_split_among_tasks(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_headers_are_found_without_reading_the_files(spark, tmp_path):
+    """Two files of some ten megabytes and an empty one: a fraction of the bytes is read."""
+    statistics = spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics
+    line = "x" * 200 + ",1\n"
+    (tmp_path / "a.csv").write_text("name,n\n" + line * 100_000)
+    (tmp_path / "b.csv").write_text("n,name\r\n" + "1,y\n" * 3_000_000)
+    (tmp_path / "c.csv").write_text("")
+    (tmp_path / "d.csv").write_text("name,n\n")
+    size = sum(f.stat().st_size for f in tmp_path.iterdir())
+    before = sum(s.getBytesRead() for s in statistics())
+    found = csv_files._files_by_header(spark, f"{tmp_path}/*.csv")
+    read = sum(s.getBytesRead() for s in statistics()) - before
+    names = {h: [p.rsplit("/", 1)[1] for p in paths] for h, paths in found.items()}
+    assert names == {"name,n": ["a.csv", "d.csv"], "n,name": ["b.csv"]}
+    assert read < size / 3
+
+
 def test_guards(spark, tmp_path):
     with pytest.raises(MissingInput):
         require_path(spark, str(tmp_path / "none"))
@@ -184,3 +201,36 @@ def test_run_log(spark, warehouse):
     assert run.run_name == "Inference_2020-12-19"
     assert run.params == {"t7_path": "p"}
     assert run.tags["run_type"] == "inference" and len(run.tags) == 3
+
+
+def test_user_features_of_bucketed_tables_need_no_exchange(spark, sf_dir, tmp_path):
+    """No side of the joins is shuffled; a replaced day and another session's view work."""
+    from checks.inputs import flat_table, session_table
+    from eventloom.plans import marts
+    from eventloom.sources.bucketed import UserTables
+
+    flat = flat_table(spark, sf_dir)
+    tables = UserTables(spark, str(tmp_path / "users"), buckets=8)
+    parts = {
+        "user_day_totals": marts.user_day_totals(flat),
+        "user_day_facts": marts.user_day_facts(flat),
+        "session_funnel": session_table(spark, sf_dir),
+    }
+    for name, rows in parts.items():
+        tables.replace_days(name, rows)
+    some = parts["user_day_totals"].where("event_date = '20201201'")
+    tables.replace_days("user_day_totals", some)
+    assert tables.read("user_day_totals").exceptAll(parts["user_day_totals"]).isEmpty()
+    assert tables.read("user_day_totals").count() == parts["user_day_totals"].count()
+    totals = marts.user_event_totals_by_user(
+        tables.read("user_day_totals"), tables.read("user_day_facts")
+    )
+    features = marts.user_features_of(totals, tables.read("session_funnel"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = features._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in plan, plan
+    direct = marts.user_features(flat, session_table(spark, sf_dir))
+    assert sorted(map(str, features.collect())) == sorted(map(str, direct.collect()))

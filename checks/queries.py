@@ -32,7 +32,7 @@ from eventloom.plans.daily import (
 )
 from eventloom.plans.features import model_features, model_features_of
 from eventloom.plans.flatten import flatten_events
-from eventloom.schemas import FUNNEL_DAILY, PREDICTIONS
+from eventloom.schemas import DEVICE_CHANNEL, FUNNEL_DAILY, PREDICTIONS
 from eventloom.sources.bucketed import UserTables
 from eventloom.sources.csv_files import (
     load_csv,
@@ -964,6 +964,17 @@ def t4_sorted_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(placed.select("position", "event_date", "funnel_step", "session_cnt"))
 
 
+@_query
+def t5_sorted_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Device x channel from most to fewest sessions, every row with its place."""
+    path = new_dir(spark, "sorted")
+    keys = ("session_device", "session_traffic_source", "session_traffic_medium")
+    channels = marts.device_channel(session_table(spark, sf_dir))
+    write_sorted_csv(channels, path, F.col("total_sessions").desc(), *keys)
+    rows = spark.read.schema(DEVICE_CHANNEL).option("header", True).csv(path)
+    return with_file_positions(rows).select("position", *keys, "total_sessions")
+
+
 @_query
 def key_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User keys read as whole numbers, fractions and decimals, as text again; NULL stays."""

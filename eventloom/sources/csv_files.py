@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,13 +19,15 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("emptyValue", '""').csv(path)
 
 
-def write_sorted_csv(df: DataFrame, path: str, *order: str) -> None:
+def write_sorted_csv(df: DataFrame, path: str, *order: str | Column) -> None:
     """CSV files that read one after the other, by name, are sorted by ``order``.
 
     The rows are dealt out by ranges of ``order``, so every task sorts and writes a range of
-    its own and the files are numbered as the ranges are. NULLs come last.
+    its own and the files are numbered as the ranges are. A name alone sorts upwards with
+    NULLs last.
     """
-    write_csv(df.orderBy(*[F.col(c).asc_nulls_last() for c in order]), path)
+    keys = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
+    write_csv(df.orderBy(*keys), path)
 
 
 def with_file_positions(rows: DataFrame, name: str = "position") -> DataFrame:

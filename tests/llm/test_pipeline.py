@@ -40,3 +40,15 @@ def test_empty_documents(spark, sf_dir, no_docs):
     for _, stage in corpus_pipeline.STAGES:
         docs = written(stage(spark, docs, sf_dir), "test-empty")
         assert docs.count() == 0
+
+
+def test_odd_documents(spark, sf_dir, odd_docs):
+    """NULL ids and texts, repeated rows and clashing columns, through all stages."""
+    docs, before = odd_docs, odd_docs.count()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"test-odd-{name}")
+        assert docs.columns == odd_docs.columns
+        assert 0 < docs.count() <= before
+        before = docs.count()
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
+    assert packed.where("start = 0").count() == before

@@ -1,12 +1,15 @@
 """Quality rules whose cut-offs limit the share of good documents they reject.
 
-A rule rejects a document when one of its measures is above a cut-off. Cut-offs are
-chosen on labelled documents, per stratum: a candidate is admitted when the exact binomial
-test rejects "more than ``risk`` of good documents would go", at a level divided by the
-number of all tests made (rules, candidates and strata). The lowest admitted candidate
-counts; where none is admitted, the rule rejects nothing in that stratum. The risk is
-shared out among the rules, so a stratum's good documents are lost at a rate of at most
-``max_false_rejection`` with probability ``1 - error``.
+A rule rejects a document when one of its measures is above a cut-off. Cut-offs are chosen
+on labelled documents, per stratum, in two parts. A fifth of the good documents and the bad
+ones draft an order of all candidates, those first that cost few good documents for the bad
+ones they catch. The other good documents, which had no part in it, are the holdout: the
+candidates join in that order, and each step is admitted while the exact binomial test
+rejects "the rules admitted so far reject more than ``max_false_rejection`` of good
+documents". The first step that fails ends the sequence, so the level need be divided by the
+number of strata only (fixed-sequence testing). With probability ``1 - error`` no stratum
+loses a larger share of its good documents. A stratum with no more good documents than the
+test needs (about 230 in the holdout) has no cut-offs, and the rules reject nothing there.
 
 Everything is built-in functions: measures are computed inside the row, without a shuffle.
 """
@@ -15,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.llm.common import split_words, written
@@ -125,7 +128,8 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
 
     The largest term is X = k; it is built in logarithms, the others relative to it.
     """
-    ups = F.when(k >= 1, F.sequence(F.lit(1), k)).otherwise(F.array().cast("array<int>"))
+    one, k, n = F.lit(1).cast("long"), k.cast("long"), n.cast("long")
+    ups = F.when(k >= 1, F.sequence(one, k)).otherwise(F.array().cast("array<bigint>"))
     log_top = F.aggregate(
         ups, F.lit(0.0), lambda acc, i: acc + F.log((n - i + 1).cast("double") / i)
     ) + k * F.log(F.lit(p)) + (n - k) * F.log(F.lit(1 - p))
@@ -140,10 +144,54 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.when(k > n * p, 1.0).otherwise(F.exp(log_top) * relative)
 
 
+def _drafted(rows: DataFrame, risk: float) -> DataFrame:
+    """The step of each candidate per stratum: a row per stratum, an array of steps.
+
+    A candidate that catches no bad document, or that costs the draft more than ``risk`` by
+    itself, has no step (NULL). Bad documents are counted over all strata.
+    """
+    counted = rows.groupBy("stratum").agg(
+        F.count_if("draft").alias("n"),
+        F.array(
+            *[
+                F.struct(
+                    F.count_if(F.col("draft") & over).alias("lost"),
+                    F.count_if(~F.col("good") & over).alias("caught"),
+                )
+                for over in _rejections()
+            ]
+        ).alias("all"),
+    )
+    each = counted.select("stratum", "n", F.posexplode("all").alias("j", "c")).select(
+        "stratum", "n", "j", "c.lost",
+        F.sum("c.caught").over(Window.partitionBy("j")).alias("caught"),
+    )
+    useful = (F.col("caught") > 0) & (F.col("lost") <= risk * F.col("n"))
+    price = (F.col("lost") + 0.5) / F.nullif("caught", F.lit(0))
+    order = Window.partitionBy("stratum").orderBy((~useful).cast("int"), price, F.desc("j"))
+    step = F.when(useful, F.row_number().over(order))
+    return (
+        each.withColumn("step", step)
+        .groupBy("stratum")
+        .agg(F.sort_array(F.collect_list(F.struct("j", "step"))).alias("s"))
+        .select("stratum", F.transform("s", lambda x: x["step"]).alias("steps"))
+    )
+
+
+def _rejections() -> list[Column]:
+    """Whether each candidate rejects a row that has the rules' values, in RULES' order."""
+    return [
+        F.coalesce(F.col(rule) > cut, F.lit(False))
+        for rule, (_, grid) in RULES.items()
+        for cut in grid
+    ]
+
+
 def cutoffs(
     labelled: DataFrame,
     label: str,
     stratum_column: str,
+    id_column: str,
     max_false_rejection: float = 0.02,
     error: float = 0.05,
     counts: str = MEASURED,
@@ -151,34 +199,55 @@ def cutoffs(
 ) -> DataFrame:
     """One row per stratum, one column per rule: the cut-off, or NULL where none is safe.
 
-    ``labelled`` has the counts, the label and the stratum column. Good rows are those with
-    label 1. At most ``len(strata) + 1`` rows, whatever the input.
+    ``labelled`` has the counts, the label, the stratum column and an id, which deals good
+    rows to draft and holdout. Good rows are those with label 1, bad ones those with label 0.
+    Rows equal in id, stratum and counts count once. At most ``len(strata) + 1`` rows, whatever the
+    input.
     """
-    tests = (len(strata) + 1) * sum(len(grid) for _, grid in RULES.values())
-    risk = max_false_rejection / len(RULES)
-    good = labelled.where(F.col(label) == 1).select(
-        stratum(stratum_column, strata).alias("stratum"),
-        *[_value(rule, counts).alias(rule) for rule in RULES],
+    rows = (
+        labelled.where(F.col(label).isin(0, 1))
+        .select(
+            F.col(id_column).alias("id"),
+            stratum(stratum_column, strata).alias("stratum"),
+            (F.col(label) == 1).alias("good"),
+            *[_value(rule, counts).alias(rule) for rule in RULES],
+        )
+        .distinct()
+        .withColumn("draft", F.col("good") & (F.pmod(F.xxhash64("id"), F.lit(5)) == 0))
+    )
+    rows = written(rows, "rule-labelled")
+    path = written(_drafted(rows, max_false_rejection), "rule-order")
+    rejections = _rejections()
+    # The step at which a good document goes.
+    first = F.array_min(
+        F.array(*[F.when(over, F.get("steps", F.lit(j))) for j, over in enumerate(rejections)])
+    )
+    lost = F.array(*[F.count_if(F.col("first") <= k + 1) for k in range(len(rejections))])
+    held = (
+        rows.where("good AND NOT draft")
+        .join(F.broadcast(path), "stratum")
+        .withColumn("first", first)
+        .groupBy("stratum")
+        .agg(F.count(F.lit(1)).alias("n"), lost.alias("lost"))
+    )
+    level = error / (len(strata) + 1)
+    # Steps lose more and more, so those admitted are the first ones.
+    admitted = F.size(
+        F.filter("lost", lambda k: binomial_tail(k, F.col("n"), max_false_rejection) <= level)
+    )
+    chosen, j = [], 0
+    for rule, (_, grid) in RULES.items():
+        taken = [
+            F.when(F.get("steps", F.lit(j + i)) <= F.col("admitted"), F.lit(cut))
+            for i, cut in enumerate(grid)
+        ]
+        chosen.append(F.coalesce(*taken).alias(rule))  # from strict to lenient
+        j += len(grid)
+    return (
+        held.withColumn("admitted", admitted)
+        .join(F.broadcast(path), "stratum")
+        .select("stratum", *chosen)
     )
-    rejected = [
-        F.count_if(F.col(rule) > cut).cast("int").alias(f"{rule}_{i}")
-        for rule, (_, grid) in RULES.items()
-        for i, cut in enumerate(grid)
-    ]
-    counted = good.groupBy("stratum").agg(F.count(F.lit(1)).cast("int").alias("n"), *rejected)
-    safest = [
-        F.coalesce(
-            *[
-                F.when(
-                    binomial_tail(F.col(f"{rule}_{i}"), F.col("n"), risk) <= error / tests,
-                    F.lit(cut),
-                )
-                for i, cut in enumerate(grid)
-            ]
-        ).alias(rule)
-        for rule, (_, grid) in RULES.items()
-    ]
-    return counted.select("stratum", *safest)
 
 
 def verdicts(
@@ -226,7 +295,7 @@ def judged(
     )
     labelled = counted.join(known, F.col("__doc") == F.col("__id"))
     chosen = written(
-        cutoffs(labelled, "__label", "__lang", max_false_rejection), "rule-cutoffs"
+        cutoffs(labelled, "__label", "__lang", "__doc", max_false_rejection), "rule-cutoffs"
     )
     return verdicts(measured, chosen, stratum_column)
 

@@ -2,10 +2,12 @@
 
 Base spans follow fixed formats (see BASE) with fixed checks. Looser generators propose
 more spans, overlapping ones too. Boosted trees score a proposal from its format and its
-surroundings; they learn from proposals that are base spans (1) or not (0), without seeing
-the checks. Per kind, the lowest score whose proposals above it are base spans often enough
-on held-out documents becomes the threshold. Of proposals that overlap, base spans stay and
-win; else the best score does.
+surroundings. They learn which proposals agree with independent evidence (see
+``agreement``): a loosely written address that is whole once spelt out, a check digit
+together with the grouping of a card, a number introduced as a telephone. Per kind, the
+lowest score whose proposals above it agree often enough on held-out documents becomes the
+threshold. Of proposals that overlap, base spans stay, then better scores go first; what
+overlaps nothing that was taken before is taken too.
 
 Only built-in functions and the trees of Spark's own library run here. A text is read once:
 its base spans and proposals are a small table, from which all the rest is computed.
@@ -45,6 +47,8 @@ LOOSE = {
 NEEDS = {"email": r"@|[(\[]at[)\]]", "ip": "[0-9]", "card": "[0-9]", "phone": "[0-9]"}
 
 CUES = r"(?i)(?:tel|phone|call|mail|contact|card|visa|pay|addr|host|ip)[^\n]{0,12}$"
+PHONE_CUES = r"(?i)\b(?:tel|telephone|phone|call|mobile|cell|fax|sms|whatsapp)\b[^\n0-9]{0,12}$"
+IP_CUES = r"(?i)\b(?:ip|host|addr|address|server)\b[^\n0-9]{0,12}$"
 _CHUNK = 64
 
 
@@ -124,7 +128,7 @@ def luhn(digits: Column) -> Column:
 def _small(part: Column) -> Column:
     """Whether a run of digits, of any length, is at most 255."""
     bare = F.regexp_replace(part, "^0+(?=[0-9])", "")
-    return F.when(F.length(bare) <= 3, bare.cast("int") <= 255).otherwise(False)
+    return F.when(F.length(bare) <= 3, bare.try_cast("int") <= 255).otherwise(False)
 
 
 def passes(kind: str, match: Column) -> Column:
@@ -175,34 +179,84 @@ def span_text(spans: Column) -> Column:
     )
 
 
+def _spelt_out(match: Column) -> Column:
+    """An address with its bracketed signs written as such."""
+    at = F.regexp_replace(match, r"\x20?[(\[]at[)\]]\x20?", "@")
+    return F.regexp_replace(at, r"\x20?[(\[]dot[)\]]\x20?", ".")
+
+
+def _before(text: Column, span: Column) -> Column:
+    """At most 24 code points in front of a span."""
+    return F.substring(
+        text, F.greatest(span["start"] - 23, F.lit(1)), F.least(span["start"], F.lit(24))
+    )
+
+
+def _checked(match: Column) -> Column:
+    """Whether a match has as many digits as a card, and the right check digit."""
+    digits = _digits(match)
+    return F.when(F.length(digits).between(12, 19), luhn(digits)).otherwise(False)
+
+
+def agreement(span: Column, before: Column) -> Column:
+    """Whether what is known besides the format speaks for a proposal.
+
+    Addresses are whole once spelt out. Four numbers up to 255 are parted by dots, or
+    introduced as a host. Cards have a right check digit and the groups of a card. Telephones
+    have 9 to 15 digits and a plus, a bracketed area code or a word that introduces them.
+    """
+    match, number = span["match"], span["kind"]
+    n = F.length(_digits(match))
+    four = match.rlike("^[0-9]+([.,:][0-9]+){3}$")
+    small = F.when(four, F.forall(F.split(match, "[.,:]"), _small)).otherwise(False)
+    grouped = match.rlike(
+        r"^[0-9]+$|^[0-9]{4}([ ./-])[0-9]{4}\1[0-9]{4}(\1[0-9]{1,7})?$"
+        r"|^[0-9]{4}([ ./-])[0-9]{6}\3[0-9]{4,5}$"
+    )
+    says = {
+        "email": _spelt_out(match).rlike(r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+$"),
+        "ip": small & (~match.rlike("[,:]") | before.rlike(IP_CUES)),
+        "card": grouped & _checked(match),
+        "phone": n.between(9, 15)
+        & (match.rlike(r"^\+|^\([0-9]{2,4}\)") | before.rlike(PHONE_CUES)),
+    }
+    return F.coalesce(
+        *[F.when(number == KINDS.index(kind), says[kind]) for kind in KINDS], F.lit(False)
+    )
+
+
 def _features(text: Column, span: Column) -> Column:
     """Numbers about how a proposal is written and what stands next to it."""
-    match = span["match"]
-    before = F.substring(text, F.greatest(span["start"] - 23, F.lit(1)),
-                         F.least(span["start"], F.lit(24)))
+    match, before = span["match"], _before(text, span)
     after = F.substring(text, span["end"] + 1, F.lit(2))
     count = lambda pattern: F.regexp_count(match, F.lit(pattern))
     groups = F.split(match, "[^0-9]+")
+    lengths = F.transform(groups, lambda g: F.length(g))
     values = [
         *[(span["kind"] == i) for i in range(len(KINDS))],
         F.char_length(match), count("[0-9]"), count("[A-Za-z]"), count("@"), count(r"\."),
         count("-"), count(r"\x20"), count("[()]"), count("[,:/]"), match.startswith("+"),
-        count("[0-9]+"), F.array_max(F.transform(groups, lambda g: F.length(g))),
-        before.rlike(r"[A-Za-z0-9]$"), before.rlike(CUES), before.rlike(r"[=:\"']\x20?$"),
+        count("[0-9]+"), F.array_max(lengths), F.array_min(lengths),
+        F.size(F.array_distinct(F.regexp_extract_all(match, F.lit("[^0-9]+"), F.lit(0)))),
+        F.regexp_count(F.substring_index(_spelt_out(match), "@", -1), F.lit(r"\.[A-Za-z0-9]")),
+        before.rlike(r"[A-Za-z0-9]$"), before.rlike(CUES), before.rlike(PHONE_CUES),
+        before.rlike(IP_CUES), before.rlike(r"[=:\"']\x20?$"),
         after.rlike(r"^[A-Za-z0-9]"), after.rlike(r"^[%$\"')]"),
-        F.substring(match, 1, 1) == "4",
+        match.startswith("("), _checked(match),
+        F.forall(groups, lambda g: (F.length(g) <= 3) & _small(g)),
     ]
-    return F.array(*[v.cast("double") for v in values])
+    return F.array(*[F.coalesce(v.cast("double"), F.lit(0.0)) for v in values])
 
 
 def proposals(text: Column, spans: Column) -> Column:
-    """Array of (start, kind, end, x, y): features, and whether it is a base span."""
+    """Array of (start, kind, end, x, y, is_base): features, agreement, base span or not."""
     return F.transform(
         F.concat(*[_matches(text, k, LOOSE[k]) for k in KINDS]),
         lambda s: F.struct(
             s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"),
             _features(text, s).alias("x"),
-            F.array_contains(spans, s.dropFields("match")).cast("double").alias("y"),
+            agreement(s, _before(text, s)).cast("double").alias("y"),
+            F.array_contains(spans, s.dropFields("match")).alias("is_base"),
         ),
     )
 
@@ -221,10 +275,21 @@ def with_spans(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 
 def fit_trees(candidates: DataFrame, max_rows: int, rounds: int, depth: int):
-    """Boosted trees on a bounded sample of proposals; None unless both classes are there."""
+    """Boosted trees on a bounded sample of proposals; None unless both classes are there.
+
+    Every kind has equal room for proposals that agree and that do not: what is rarer than
+    its room counts whole. At most ``max_rows`` rows are learned from.
+    """
+    training = candidates.where("fold <> 0").withColumn(
+        "draw", F.pmod(F.xxhash64("__id", "__hash", "start", "kind"), F.lit(1 << 20))
+    )
+    room = training.groupBy("kind", "y").agg(
+        (F.lit(max_rows / (2 * len(KINDS))) / F.count(F.lit(1)) * (1 << 20)).alias("below")
+    )
     sample = (
-        candidates.where("fold <> 0")
-        .orderBy(F.xxhash64("__id", "__hash", "start", "kind"), "start", "kind")
+        training.join(F.broadcast(room), ["kind", "y"])
+        .where("draw < below")
+        .orderBy("draw", "__id", "__hash", "start", "kind")
         .limit(max_rows)
         .select(array_to_vector("x").alias("features"), F.col("y").alias("label"))
     )
@@ -239,7 +304,7 @@ def thresholds(scored: DataFrame, precision: float, least: int) -> DataFrame:
     """Lowest safe score per kind, over all held-out proposals; a row per kind at most.
 
     Scores are counted in a hundred steps; a step is safe when, of all proposals at or
-    above it, at least ``precision`` are base spans and there are ``least`` of them.
+    above it, at least ``precision`` agree and there are ``least`` of them.
     """
     steps = (
         scored.where("fold = 0")
@@ -262,7 +327,7 @@ def added_spans(
     table: DataFrame,
     max_rows: int = 20_000,
     rounds: int = 10,
-    depth: int = 3,
+    depth: int = 4,
     precision: float = 0.9,
     least: int = 20,
 ) -> DataFrame | None:
@@ -283,7 +348,7 @@ def added_spans(
     scored = model.transform(
         candidates.withColumn("features", array_to_vector("x"))
     ).select(
-        "__id", "__hash", "start", "kind", "end", "y", "fold",
+        "__id", "__hash", "start", "kind", "end", "y", "is_base", "fold",
         F.get(vector_to_array("probability"), F.lit(1)).alias("score"),
     )
     scored = written(scored, "pii-scores")
@@ -293,30 +358,36 @@ def added_spans(
         "__id", "__hash", F.explode("__base").alias("s")
     )
     # Base spans take part with a score no proposal reaches.
-    rows = chosen.where("y = 0").select("__id", "__hash", "start", "end", "kind", "score").union(
+    rows = chosen.where("NOT is_base").select(
+        "__id", "__hash", "start", "end", "kind", "score"
+    ).union(
         base.select("__id", "__hash", "s.start", "s.end", "s.kind", F.lit(2.0)).distinct()
-    )
+    )
     by_start = Window.partitionBy("__id", "__hash").orderBy("start", "end", "kind")
     reach = F.max("end").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumn("__new", (F.col("start") >= F.coalesce(reach, F.lit(0))).cast("int"))
     rows = rows.withColumn("island", F.sum("__new").over(by_start))
-    best = F.max(F.struct("score", -F.col("start"), -F.col("kind"), F.col("end"))).alias("b")
+    span = F.struct((-F.col("score")).alias("rank"), "start", "kind", "end")
     return (
         rows.groupBy("__id", "__hash", "island")
-        .agg(best)
-        .where("b.score < 2")
+        .agg(F.sort_array(F.collect_list(span)).alias("chain"))
+        .where(F.get("chain", F.size("chain") - 1)["rank"] > -2)
         .groupBy("__id", "__hash")
-        .agg(
-            F.sort_array(
-                F.collect_list(
-                    F.struct(
-                        (-F.col("b.col2")).alias("start"),
-                        (-F.col("b.col3")).alias("kind"),
-                        F.col("b.end").alias("end"),
-                    )
-                )
-            ).alias("__added")
-        )
+        .agg(F.sort_array(F.flatten(F.collect_list(_taken(F.col("chain"))))).alias("__added"))
+    )
+
+
+def _taken(chain: Column) -> Column:
+    """Spans of a chain, best first, that overlap none taken before; base spans left out."""
+    start = F.slice(chain, 1, 0)
+
+    def add(taken: Column, s: Column) -> Column:
+        met = F.exists(taken, lambda t: (t["start"] < s["end"]) & (s["start"] < t["end"]))
+        return F.when((s["rank"] == -2) | ~met, F.array_append(taken, s)).otherwise(taken)
+
+    return F.transform(
+        F.filter(F.aggregate(chain, start, add), lambda s: s["rank"] > -2),
+        lambda s: s.dropFields("rank"),
     )
 
 

@@ -225,9 +225,9 @@ def agreement(span: Column, before: Column) -> Column:
     )
 
 
-def _features(text: Column, span: Column) -> Column:
+def _features(text: Column, span: Column, before: Column) -> Column:
     """Numbers about how a proposal is written and what stands next to it."""
-    match, before = span["match"], _before(text, span)
+    match = span["match"]
     after = F.substring(text, span["end"] + 1, F.lit(2))
     count = lambda pattern: F.regexp_count(match, F.lit(pattern))
     groups = F.split(match, "[^0-9]+")
@@ -252,11 +252,14 @@ def proposals(text: Column, spans: Column) -> Column:
     """Array of (start, kind, end, x, y, is_base): features, agreement, base span or not."""
     return F.transform(
         F.concat(*[_matches(text, k, LOOSE[k]) for k in KINDS]),
-        lambda s: F.struct(
-            s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"),
-            _features(text, s).alias("x"),
-            agreement(s, _before(text, s)).cast("double").alias("y"),
-            F.array_contains(spans, s.dropFields("match")).alias("is_base"),
+        lambda s: _let(
+            _before(text, s),
+            lambda before: F.struct(
+                s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"),
+                _features(text, s, before).alias("x"),
+                agreement(s, before).cast("double").alias("y"),
+                F.array_contains(spans, s.dropFields("match")).alias("is_base"),
+            ),
         ),
     )
 

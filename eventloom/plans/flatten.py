@@ -72,21 +72,64 @@ def _digest(columns: Sequence[str]) -> list[Column]:
     ]
 
 
-def _regrouped(nested: DataFrame) -> DataFrame:
+def _merged(rows: DataFrame) -> DataFrame:
     """Rows with one digest are merged; event and item columns are those of any of them.
 
     The digest is the only key. Text columns cannot be updated in place, so Spark sorts
     before it merges, and sorts 16 bytes a row instead of all event and item columns.
     """
-    rows = _expand_items(_pivoted(nested), "items")
     keys = [*EVENT_FIELDS, *ITEM_FIELDS]
-    merged = rows.groupBy(*_digest(keys)).agg(
+    merged = rows.groupBy("digest_1", "digest_2").agg(
         F.first(F.struct(*keys)).alias("row"),
         *[F.expr(f"max({p}) AS {p}") for p in PARAM_COLUMNS],
     )
     return merged.select("row.*", *PARAM_COLUMNS)
 
 
+def _with_digests(nested: DataFrame) -> DataFrame:
+    rows = _expand_items(_pivoted(nested), "items")
+    return rows.select("*", *_digest([*EVENT_FIELDS, *ITEM_FIELDS]))
+
+
+# Equal events up to this number may meet in one task as they are.
+FEW = 10_000
+
+
+def _origin() -> Column:
+    """64-bit hash of what equal events share and few others do; needs four columns only."""
+    return F.expr(
+        "xxhash64(event_timestamp, user_pseudo_id, event_bundle_sequence_id, event_name)"
+    )
+
+
+def crowded_origins(nested: DataFrame, few: int = FEW) -> DataFrame:
+    """Hashes that more than ``few`` events share: at most one row for so many events."""
+    return (
+        nested.select(_origin().alias("origin"))
+        .groupBy("origin")
+        .agg(F.count("*").alias("n"))
+        .where(F.col("n") > few)
+        .select("origin")
+    )
+
+
+def _regrouped(nested: DataFrame, few: int = FEW) -> DataFrame:
+    """Rows are dealt out by digest and merged where they arrive.
+
+    Merging in the scanning tasks first would sort all rows of a task's share of the files,
+    which grows with the table, and mostly finds nothing to merge. Only copies of an event
+    that is there very often are merged there as well; without any, Spark leaves that part
+    of the plan out once it knows.
+    """
+    crowded = F.broadcast(crowded_origins(nested, few))
+    same = _origin() == F.col("origin")
+    dealt = _with_digests(nested.join(crowded, same, "left_anti")).repartition(
+        "digest_1", "digest_2"
+    )
+    copied = _with_digests(nested.join(crowded, same, "left_semi"))
+    return _merged(dealt).unionByName(_merged(copied))
+
+
 def _unique(nested: DataFrame) -> DataFrame:
     return _expand_items(_pivoted(nested), "array_distinct(items)")
 

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from eventloom.functions.params import PARAM_SPECS, pivot_params
+from eventloom.plans import flatten
 from eventloom.plans.flatten import flatten_events, one_row_per_event
 from eventloom.schemas import FLAT_EVENT, NESTED_EVENT, conform
 
@@ -87,6 +90,21 @@ EQUAL_EVENTS = (
 )
 
 
+@pytest.mark.parametrize("few", [0, 1, 10])
+def test_crowded_events_merge_as_the_others_do(nested, few):
+    df = nested(*EQUAL_EVENTS)
+    whole = sorted(map(str, flatten._merged(flatten._with_digests(df)).collect()))
+    assert sorted(map(str, flatten._regrouped(df, few).collect())) == whole
+
+
+def test_rows_are_dealt_out_before_they_are_merged(nested):
+    """The scanning tasks sort no wide rows: their share of the files grows with the table."""
+    plan = flatten_events(nested(*EQUAL_EVENTS))._jdf.queryExecution().executedPlan().toString()
+    dealt = plan[: plan.index("LeftAnti")]
+    merges = [m.start() for m in re.finditer("SortAggregate", dealt)]
+    assert len(merges) == 2 and "REPARTITION_BY_COL" in dealt[merges[-1] :]
+
+
 @pytest.mark.parametrize("threshold", ["-1", "10m"])
 def test_adaptive_merge_equals_regroup(spark, nested, threshold):
     df = nested(*EQUAL_EVENTS)

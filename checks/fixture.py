@@ -48,10 +48,9 @@ def _choice(selector: Column, *values: object) -> Column:
     return out
 
 
-def base_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per source event with every scalar column of the flat form."""
+def source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per source event with the few columns that all others follow from."""
     user, event, kind = F.col("user_id"), F.col("event_id"), F.col("event_type")
-    k, us, name = F.col("k"), F.col("event_timestamp"), F.col("event_name")
 
     day = F.floor(F.col("us0") / MICROS_PER_DAY)
     moved_back = (
@@ -70,8 +69,7 @@ def base_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(event % 4 == 0, F.lit("purchase"))
         .otherwise(F.lit("view_item"))
     )
-    is_purchase = name == "purchase"
-    numbered = (
+    return (
         read_table(spark, sf_dir, "events")
         .withColumns(
             {
@@ -85,8 +83,21 @@ def base_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "event_name": event_name,
             }
         )
+        .select("event_id", "user_id", "event_type", "value", "k", "event_timestamp", "event_name")
     )
-    return numbered.select(
+
+
+def base_events(source: DataFrame, *carried: str) -> DataFrame:
+    """Every scalar column of the flat form, and the ``carried`` ones.
+
+    Made of rows that have found their items: the joins then shuffle the few columns of
+    :func:`source_events` and not all those that follow from them.
+    """
+    user, event, kind = F.col("user_id"), F.col("event_id"), F.col("event_type")
+    k, us, name = F.col("k"), F.col("event_timestamp"), F.col("event_name")
+    is_purchase = name == "purchase"
+    return source.select(
+        *carried,
         "event_id",
         "k",
         "value",
@@ -153,11 +164,11 @@ def _item_key(parts: DataFrame, ordinal: Column) -> Column:
 def flat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flat form: one row per event and item, as the marts read it."""
     parts = read_table(spark, sf_dir, "part")
-    base = base_events(spark, sf_dir)
+    source = source_events(spark, sf_dir)
     last = F.when(
         F.col("event_name").isin(*ITEM_EVENTS), (F.col("k") % 3).cast("int")
     ).otherwise(F.lit(0))
-    rows = base.withColumn("j", F.explode(F.sequence(F.lit(0), last)))
+    rows = source.withColumn("j", F.explode(F.sequence(F.lit(0), last)))
     rows = rows.withColumn("item_key", _item_key(parts, F.col("j")))
     items = parts.select(
         F.col("p_partkey").alias("item_key"),
@@ -165,10 +176,12 @@ def flat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_type").alias("item_category"),
         F.col("p_retailprice").alias("price"),
     )
-    joined = rows.join(items, "item_key", "left")
-    return joined.withColumn(
+    joined = rows.join(items, "item_key", "left").withColumn(
         "quantity", F.when(F.col("item_key") >= 0, F.col("k") % 4 + 1)
-    ).drop("item_key", "j", "k", "value", "event_id")
+    )
+    return base_events(
+        joined, "item_name", "item_category", "price", "quantity"
+    ).drop("k", "value", "event_id")
 
 
 def _value(
@@ -234,7 +247,7 @@ def nested_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nested form. Some events appear twice with different parameter values."""
     parts = read_table(spark, sf_dir, "part")
     copies = F.when(F.col("k") % 10 == 3, F.lit(1)).otherwise(F.lit(0))
-    events = base_events(spark, sf_dir).withColumn(
+    events = source_events(spark, sf_dir).withColumn(
         "copy", F.explode(F.sequence(F.lit(0), copies))
     )
     items = []
@@ -279,6 +292,8 @@ def nested_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The first item is listed twice in some events: equal items merge when flattened.
     repeated = F.when(F.col("k") % 6 == 1, items[0])
     listed = F.array_compact(F.array(*items, repeated))
+    shown = [f"part_{j}" for j in range(3)]
+    events = base_events(events, "copy", *shown)
 
     def null(kind: str = "string") -> Column:
         return F.lit(None).cast(kind)

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.fixture import flat_events
+from checks.fixture import flat_events, nested_events
 from checks.inputs import flat_table, nested_table
 from eventloom.functions.labels import period_label
 from eventloom.plans.flatten import flatten_events
@@ -57,3 +57,20 @@ def test_session_zone_does_not_matter(spark, sf_dir):
     assert sorted(elsewhere, key=str) == sorted(
         flat_table(spark, sf_dir).select(*columns).collect(), key=str
     )
+
+
+def test_items_are_joined_to_short_rows(spark, tmp_path):
+    """The joins shuffle the columns of the source, not all those that follow from them."""
+    spark.sql(
+        "SELECT 1L AS event_id, TIMESTAMP_NTZ '2024-01-01 00:00:11' AS ts, 1L AS user_id, "
+        "'view' AS event_type, 1.5D AS value, '{\"k\": 1}' AS props"
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    spark.sql(
+        "SELECT 0L AS p_partkey, 'bolt' AS p_name, 'b' AS p_brand, 't' AS p_type, "
+        "900.0D AS p_retailprice"
+    ).write.parquet(f"{tmp_path}/part.parquet")
+    for build in (flat_events, nested_events):
+        rows = build(spark, str(tmp_path))
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert "param_page_location" not in plan[plan.index("Join LeftOuter") :]
+        assert rows.count() == (2 if build is flat_events else 1)

@@ -885,10 +885,11 @@ def _ingested(spark: SparkSession, sf_dir: str, *parts: list[str], **options) ->
 @_query
 def daily_scoring_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ingest, refresh, train and score the newest day; decisions as their probabilities say."""
-    days = _all_days(flat_table(spark, sf_dir))
+    nested = nested_table(spark, sf_dir)
+    days = _all_days(nested)
     newest = days[-1]
     warehouse = Warehouse(spark, new_dir(spark, "scoring"))
-    ingest_days(warehouse, nested_table(spark, sf_dir), days)
+    ingest_days(warehouse, nested, days)
     refresh_marts(warehouse, [newest])
     score_day(warehouse, newest, new_dir(spark, "models"))
     c = F.col
@@ -919,7 +920,7 @@ def empty_day_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def history_churn_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Churn flags as stored after two daily runs; the second changes flags of the first."""
-    days = _all_days(flat_table(spark, sf_dir))
+    days = _all_days(nested_table(spark, sf_dir))
     early = [d for d in days if d <= "20201205"]
     warehouse = _ingested(spark, sf_dir, early, days[len(early) :], churn="history")
     stored = warehouse.read("session_funnel")
@@ -949,8 +950,8 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(read_csv_shards(spark, f"{path}/*.csv", PREDICTIONS))
 
 
-def _all_days(flat: DataFrame) -> list[str]:
-    return sorted(r[0] for r in flat.select("event_date").distinct().collect())
+def _all_days(events: DataFrame) -> list[str]:
+    return sorted(r[0] for r in events.select("event_date").distinct().collect())
 
 
 @_query

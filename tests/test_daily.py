@@ -7,6 +7,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries
 from checks.inputs import nested_table
 from eventloom.plans import marts
 from eventloom.plans.churn_state import revise_churn
@@ -306,3 +307,26 @@ def test_landing_folder_must_be_partitioned(spark, sf_dir, tmp_path):
     nested_table(spark, sf_dir).limit(5).write.parquet(landing)
     with pytest.raises(ValueError, match="not partitioned"):
         ingest_new_files(Warehouse(spark, str(tmp_path / "w")), landing, str(tmp_path / "c"))
+
+
+@pytest.mark.parametrize("name", ["history_churn_stored", "daily_scoring_run"])
+def test_days_are_read_from_the_events_that_are_ingested(spark, monkeypatch, name):
+    """No second table of the events is built to learn which days there are."""
+
+    class Ingested(Exception):
+        pass
+
+    def unused(*_):
+        raise AssertionError("the flat table was built")
+
+    def ingested(_, __, *parts, **___):
+        raise Ingested([d for part in parts for d in ([part] if isinstance(part, str) else part)])
+
+    nested = spark.createDataFrame([("20201219",), ("20201201",)], "event_date string")
+    monkeypatch.setattr(queries, "nested_table", lambda *_: nested)
+    monkeypatch.setattr(queries, "flat_table", unused)
+    monkeypatch.setattr(queries, "_ingested", ingested)
+    monkeypatch.setattr(queries, "ingest_days", lambda w, n, days: ingested(w, n, days))
+    with pytest.raises(Ingested) as days:
+        queries.queries()[name](spark, "none")
+    assert days.value.args[0] == ["20201201", "20201219"]

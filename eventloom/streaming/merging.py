@@ -52,11 +52,9 @@ def merge_events(
     fresh = new.join(known, KEYS, "left_anti")
     others = known.withColumnRenamed("params", "stored_params")
     differing = new.join(others, KEYS).where("params <> stored_params")
-    fresh_path = new_dir(spark, "fresh-events")
-    fresh.write.parquet(fresh_path)
-    fresh = spark.read.schema(new.schema).parquet(fresh_path)
     rewritten = sorted(r[0] for r in differing.select("event_date").distinct().collect())
 
+    # ``known`` lists the digests stored so far, so what is added here does not change it.
     append = fresh.where(~F.col("event_date").isin(*rewritten)) if rewritten else fresh
     warehouse.append("raw_events", as_schema(append, FLAT_EVENT))
     warehouse.append("event_digests", as_schema(append, EVENT_DIGESTS))
@@ -69,6 +67,5 @@ def merge_events(
         warehouse.replace_days("raw_events", merged, rewritten)
         index_days(warehouse, rewritten)
         delete_dir(spark, copy)
-    for folder in (path, fresh_path):
-        delete_dir(spark, folder)
+    delete_dir(spark, path)
     return rewritten

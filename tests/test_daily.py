@@ -12,7 +12,9 @@ from checks.inputs import nested_table
 from eventloom.plans import marts
 from eventloom.plans.churn_state import revise_churn
 from eventloom.plans.daily import ingest_days, refresh_marts, score_day
+from eventloom.plans.flatten import flatten_events
 from eventloom.sources.warehouse import Warehouse
+from eventloom.streaming import merging
 from eventloom.streaming.incremental import ingest_new_files
 
 DAYS = ["20201208", "20201209"]
@@ -330,3 +332,24 @@ def test_days_are_read_from_the_events_that_are_ingested(spark, monkeypatch, nam
     with pytest.raises(Ingested) as days:
         queries.queries()[name](spark, "none")
     assert days.value.args[0] == ["20201201", "20201219"]
+
+
+def test_new_rows_are_written_once_before_they_are_merged(spark, sf_dir, tmp_path, monkeypatch):
+    made = []
+
+    def noted(spark, purpose):
+        made.append(purpose)
+        return f"{tmp_path}/scratch-{len(made)}"
+
+    monkeypatch.setattr(merging, "new_dir", noted)
+    warehouse = Warehouse(spark, f"{tmp_path}/w")
+    day = nested_table(spark, sf_dir).where(F.col("event_date") == "20201201")
+    early = day.where("event_bundle_sequence_id % 3 < 2")
+    ingest_days(warehouse, early, ["20201201"])
+    merging.index_days(warehouse, ["20201201"])
+    assert merging.merge_events(warehouse, day, ["20201201"]) == []
+    assert made == ["new-events"]
+    whole = flatten_events(day)
+    stored = warehouse.read("raw_events")
+    assert stored.exceptAll(whole).isEmpty() and whole.exceptAll(stored).isEmpty()
+    assert warehouse.read("event_digests").count() == whole.count()

@@ -87,12 +87,24 @@ def source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def by_day(source: DataFrame) -> DataFrame:
+    """``source`` with ``event_date``, dealt out by it as the tables are partitioned.
+
+    Rows move before they are derived, while they are narrow.
+    """
+    days = F.floor(F.col("event_timestamp") / MICROS_PER_DAY).cast("int")
+    return source.withColumn(
+        "event_date", F.date_format(F.date_from_unix_date(days), "yyyyMMdd")
+    ).hint("rebalance", "event_date")
+
+
 def base_events(source: DataFrame, *carried: str) -> DataFrame:
     """Every scalar column of the flat form, and the ``carried`` ones.
 
-    Made of rows that have found their items: the joins then shuffle the few columns of
-    :func:`source_events` and not all those that follow from them.
+    Made of rows that have found their items and lie by day: joins and the exchange by day
+    then shuffle the few columns of :func:`source_events` and not all those that follow.
     """
+    source = by_day(source)
     user, event, kind = F.col("user_id"), F.col("event_id"), F.col("event_type")
     k, us, name = F.col("k"), F.col("event_timestamp"), F.col("event_name")
     is_purchase = name == "purchase"
@@ -104,9 +116,7 @@ def base_events(source: DataFrame, *carried: str) -> DataFrame:
         us.alias("event_timestamp"),
         user.cast("string").alias("user_pseudo_id"),
         name.alias("event_name"),
-        F.date_format(
-            F.date_from_unix_date(F.floor(us / MICROS_PER_DAY).cast("int")), "yyyyMMdd"
-        ).alias("event_date"),
+        "event_date",
         F.when(k != 0, F.floor(us / (MICROS_PER_DAY // 4))).alias("param_ga_session_id"),
         (F.floor(us / MICROS_PER_DAY) - 18585).alias("param_ga_session_number"),
         F.when(k % 5 != 0, F.floor(F.col("value") * 100)).alias("param_engagement_time_msec"),

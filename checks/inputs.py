@@ -45,7 +45,7 @@ def _table(
         # The derivation stacks dozens of CASE columns; inferring constraints over them
         # costs far more than it can save. Switched off for this one write.
         with _setting(spark, "spark.sql.constraintPropagation.enabled", "false"):
-            build().hint("rebalance", partition).write.partitionBy(partition).parquet(path)
+            build().write.partitionBy(partition).parquet(path)
         # Keeping the DataFrame keeps its file listing, not its rows.
         _written[key] = (path, spark.read.schema(schema).parquet(path))
     return _written[key][1]
@@ -67,9 +67,17 @@ def nested_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nested_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the nested events, partitioned by day. Nothing is to be written there."""
+    nested_table(spark, sf_dir)
+    return _written[(spark.sparkContext.applicationId, sf_dir, "nested")][0]
+
+
 def session_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Session mart with churn flags over the whole history, partitioned by day."""
     return _table(
         spark, sf_dir, "sessions", SESSION_FUNNEL, "session_date",
-        lambda: session_funnel(flat_table(spark, sf_dir), churn="history"),
+        lambda: session_funnel(flat_table(spark, sf_dir), churn="history").hint(
+            "rebalance", "session_date"
+        ),
     )

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.inputs import flat_table, nested_table, session_table
+from checks.inputs import flat_table, nested_folder, nested_table, session_table
 from eventloom.functions import geo_time, labels, scalars
 from eventloom.functions.params import pivot_params
 from eventloom.operators import grouping, ordering
@@ -1127,9 +1127,9 @@ def append_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested events as a landing folder, picked up by the stream, to the stored funnel."""
-    landing = new_dir(spark, "landing")
     warehouse = Warehouse(spark, new_dir(spark, "warehouse"))
-    nested_table(spark, sf_dir).write.partitionBy("event_date").parquet(landing)
+    # The table's folder is one of files by day, as they land; a copy of it adds nothing.
+    landing = nested_folder(spark, sf_dir)
     ingest_new_files(
         warehouse, landing, new_dir(spark, "stream"),
         refresh=partial(refresh_marts, churn="history"),

@@ -536,7 +536,11 @@ def user_day_totals(flat: DataFrame) -> DataFrame:
 
 
 def user_day_facts(flat: DataFrame) -> DataFrame:
-    """Sessions, viewed items and purchases of a user on a day, each once."""
+    """Sessions, viewed items and purchases of a user on a day, each once.
+
+    Facts that repeat are dropped in the scanning tasks, so one shuffle of facts is all; an
+    event lists at most two.
+    """
     name = F.col("event_name")
     facts = F.array(
         F.struct(F.lit("session").alias("kind"),
@@ -544,10 +548,7 @@ def user_day_facts(flat: DataFrame) -> DataFrame:
         F.struct(name.alias("kind"), F.when(name == "view_item", F.col("item_name"))
                  .when(name == "purchase", F.col("transaction_id")).alias("fact")),
     )
-    reduced = flat.groupBy(
-        "event_date", USER, "param_ga_session_id", "event_name", "item_name", "transaction_id"
-    ).agg(F.lit(1).alias("any"))
-    rows = reduced.select("event_date", USER, F.explode(facts).alias("f"))
+    rows = flat.select("event_date", USER, F.explode(facts).alias("f"))
     return as_schema(
         rows.select("event_date", USER, "f.kind", "f.fact").where("fact IS NOT NULL").distinct(),
         USER_DAY_FACTS,

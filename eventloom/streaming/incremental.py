@@ -70,7 +70,9 @@ def ingest_new_files(
         if late == "merge":
             index_days(warehouse, days)
 
-    reader = spark.readStream.schema(NESTED_EVENT)
+    # A batch is read whole, whatever is selected of it. Where only its days matter, the
+    # stream has no other column, and no column of the files is read.
+    reader = spark.readStream.schema(NESTED_EVENT if late == "merge" else "event_date string")
     if max_files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     query = (

@@ -1158,7 +1158,7 @@ def t6_user_features_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = UserTables(spark, new_dir(spark, "by-user"))
     tables.replace_days("user_day_totals", marts.user_day_totals(flat))
     tables.replace_days("user_day_facts", marts.user_day_facts(flat))
-    tables.replace_days("session_funnel", session_table(spark, sf_dir))
+    tables.replace_days("session_funnel", marts.session_funnel(flat, churn="history"))
     totals = marts.user_event_totals_by_user(
         tables.read("user_day_totals"), tables.read("user_day_facts")
     )

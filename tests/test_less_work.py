@@ -11,6 +11,7 @@ from checks.fixture import flat_events, nested_events
 from checks.inputs import nested_table
 from eventloom.plans.features import feature_day_facts
 from eventloom.plans.marts import user_day_facts
+from eventloom.sources.bucketed import UserTables
 from eventloom.sources.warehouse import Warehouse
 from eventloom.streaming import incremental
 
@@ -87,3 +88,21 @@ def test_facts_of_a_day_are_shuffled_once(spark, flat):
     )
     for facts in (shown, features):
         assert _plan(facts).count("Aggregate") == 1
+
+
+def test_sessions_by_user_are_not_written_by_day_first(spark, sf_dir, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("the session mart is written twice")
+
+    stored = []
+
+    def note(self, name, df):
+        stored.append(name)
+        if len(stored) == 3:
+            raise Enough
+
+    monkeypatch.setattr(checks_queries, "session_table", refuse)
+    monkeypatch.setattr(UserTables, "replace_days", note)
+    with pytest.raises(Enough):
+        checks_queries.queries()["t6_user_features_bucketed"](spark, sf_dir)
+    assert stored == ["user_day_totals", "user_day_facts", "session_funnel"]
